@@ -44,7 +44,8 @@ def event_telemetry(spark: SparkSession, sf_dir: str, max_files: int | None = No
     reader = spark.readStream.schema(events.EVENTS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = events.telemetry(reader.parquet(f"{sf_dir}/events.parquet"))
+    # A glob is accepted whether the table is one file or a folder of files.
+    rows = events.telemetry(reader.parquet(f"{sf_dir}/events.parque[t]"))
     return rows.withColumn(TIME, F.col(TIME).cast("timestamp"))
 
 
