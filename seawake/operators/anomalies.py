@@ -103,14 +103,16 @@ def anomaly_distribution(df: DataFrame, days: int = 30, as_of: Column | None = N
 
 def alerts_per_hour(df: DataFrame) -> DataFrame:
     """Documented anomalies per hour; hours without any count 0."""
-    per_hour = (
-        documented_alerts(df).groupBy(F.window(TIME, "1 hour")["start"].alias("heure"))
-        .agg(F.count("*").alias("nombre"))
+    hour = F.window(TIME, "1 hour")["start"]
+    per_hour = documented_alerts(df).groupBy(hour.alias("debut")).agg(F.count("*").alias("alertes"))
+    # The open window sees one row per hour with alerts, never raw rows.
+    following = F.lead("debut").over(Window.partitionBy().orderBy("debut"))
+    last_free = F.coalesce(following - F.expr("INTERVAL 1 HOUR"), F.col("debut"))
+    return (
+        per_hour.withColumn("_until", last_free)
+        .select("debut", "alertes", F.explode(F.expr("sequence(debut, _until, INTERVAL 1 HOUR)")).alias("heure"))
+        .select("heure", F.when(F.col("heure") == F.col("debut"), F.col("alertes")).otherwise(0).alias("nombre"))
     )
-    span = per_hour.agg(F.min("heure").alias("first"), F.max("heure").alias("last"))
-    calendar = span.select(F.explode(F.expr("sequence(first, last, INTERVAL 1 HOUR)")).alias("heure"))
-    return calendar.join(per_hour, "heure", "left").select(
-        "heure", F.coalesce("nombre", F.lit(0)).alias("nombre"))
 
 
 def alert_score() -> Column:

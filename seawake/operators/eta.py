@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seawake.functions.moments import plus_seconds, recency
+from seawake.functions.moments import plus_seconds
 from seawake.functions.rules import lookup
 from seawake.schemas import ETA, SHIP, TIE, TIME, EtaRules
 
@@ -22,21 +22,34 @@ def eta_predictions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def eta_adjusted(df: DataFrame, span: str = "30 minutes", every: str = "5 minutes",
-                 rules: EtaRules = ETA, tie: str | None = TIE) -> DataFrame:
+                 rules: EtaRules = ETA) -> DataFrame:
     """Arrival estimate from the mean speed of the last half hour, renewed every five minutes.
 
     The speed is lowered by a factor for the weather and the hours raised by a
-    safety buffer; both are parameters. Runs unchanged on a stream.
+    safety buffer; both are parameters. A bounded table is first summed up per
+    step, so that the copies for overlapping windows are made of step sums and
+    not of rows. On a stream the rows go straight into the overlapping windows
+    (one stateful operator; each micro-batch is small).
     """
-    at = recency(tie)
     factor = lookup(rules.weather_factor, F.col("meteo"), 1.0)
-    windows = df.groupBy(F.window(TIME, span, every), SHIP, "port_arrivee").agg(
-        F.avg("vitesse_noeuds").alias("vitesse_recente"),
-        F.max_by(F.struct(F.col("distance_restante_nm").alias("distance"), factor.alias("factor")), at).alias("_last"),
-    )
+    rows = df.select(
+        TIME, SHIP, "port_arrivee", F.col("vitesse_noeuds").alias("_speed"),
+        F.when(F.col("vitesse_noeuds").isNotNull(), 1).otherwise(0).alias("_n"),
+        F.struct(TIME, TIE, F.col("distance_restante_nm").alias("distance"), factor.alias("factor")).alias("_last"))
+
+    def summed(source: DataFrame, window) -> DataFrame:
+        return source.groupBy(window.alias("window"), SHIP, "port_arrivee").agg(
+            F.sum("_speed").alias("_speed"), F.sum("_n").alias("_n"), F.max("_last").alias("_last"))
+
+    if not df.isStreaming:
+        rows = summed(rows, F.window(TIME, every)).withColumn(TIME, F.col("window.start")).drop("window")
+    recent = F.col("_speed") / F.col("_n")
     speed = F.col("vitesse_recente") * F.col("_last.factor")
     return (
-        windows.filter((speed > 0) & (F.col("_last.distance") > 0))
+        summed(rows, F.window(TIME, span, every))
+        .filter(F.col("_n") > 0)
+        .withColumn("vitesse_recente", recent)
+        .filter((speed > 0) & (F.col("_last.distance") > 0))
         .select(
             F.col("window.end").alias("mise_a_jour"), SHIP, "port_arrivee", "vitesse_recente",
             F.col("_last.distance").alias("distance_restante_nm"),

@@ -26,7 +26,9 @@ def _port(values: list, index: Column) -> Column:
 def telemetry(events: DataFrame, extended: bool = False) -> DataFrame:
     """One telemetry row per event; ``extended`` adds the documented engine and cargo fields."""
     event, user = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    # A column of its own, so that the JSON text is read once per row.
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k, number = F.col("k"), (user + 1).cast("string")
     dep = F.pmod(user, F.lit(8))
     arr = F.pmod(dep + 1 + F.pmod(F.floor(user / 8), F.lit(7)), F.lit(8))
     names = [name for name, _, _ in PORTS]
@@ -52,7 +54,8 @@ def telemetry(events: DataFrame, extended: bool = False) -> DataFrame:
     columns = [
         event,
         F.col("ts"),
-        F.format_string("SHIP_%03d", user + 1).alias("navire_id"),
+        F.concat(F.lit("SHIP_"), F.when(F.length(number) < 3, F.lpad(number, 3, "0")).otherwise(number))
+        .alias("navire_id"),
         (_port(lats, dep) + (_port(lats, arr) - _port(lats, dep)) * progress).alias("latitude"),
         (_port(lons, dep) + (_port(lons, arr) - _port(lons, dep)) * progress).alias("longitude"),
         speed.alias("vitesse_noeuds"),
