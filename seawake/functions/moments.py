@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,12 @@ def back(ts: Column, *, days: int = 0, hours: int = 0, minutes: int = 0) -> Colu
     return ts - F.expr(f"INTERVAL '{days} {hours:02d}:{minutes:02d}:00' DAY TO SECOND")
 
 
+def after(df: DataFrame, cutoff: Column, ts: str = "ts") -> Column:
+    """``ts > cutoff``; where the table has a ``date`` partition column it is filtered too, so old days are not read."""
+    newer = F.col(ts) > cutoff
+    return newer & (F.col("date") >= F.to_date(cutoff)) if "date" in df.columns else newer
+
+
 def slot(ts: Column, seconds: int) -> Column:
     """Number of the fixed-width time slot that holds ``ts``."""
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")

@@ -14,45 +14,44 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from seawake import session
-from seawake.operators import aggregates, anomalies, eta
+from seawake.operators import aggregates, anomalies
 from seawake.plans import reports, views
 from seawake.schemas import TIE
 from seawake.sources import messages, tables
 from seawake.streaming import io, queries
 
 
-def analyses(raw: DataFrame) -> dict[str, DataFrame]:
-    """The six result tables of the batch job, by folder name."""
-    return {
-        "ship_statistics": aggregates.ship_statistics(raw),
-        "route_performance": aggregates.route_performance(raw),
-        "temporal_analysis": aggregates.temporal_analysis(raw),
-        "weather_impact": aggregates.weather_impact(raw),
-        "anomalies_detected": anomalies.anomalies_detected(raw),
-        "maintenance_prediction": aggregates.maintenance_prediction(raw),
-    }
+ROLLUP = "ship_route_rollup"
 
 
 def run_batch(spark: SparkSession, root: str) -> list[str]:
-    """Writes every analysis of ``root``/raw_data once; returns the names written, none for an empty archive.
+    """Writes the six analyses of ``root``/raw_data; returns their names, none for an empty archive.
 
-    The archive is not cached: each analysis reads only its own few columns,
-    which costs less than keeping a copy of the rows.
+    The raw rows are read four times, a few columns each, and are not cached:
+    one pass writes the rollup per ship and route, which is read back for the
+    three analyses that follow from it.
     """
     raw = tables.read_raw(spark, f"{root}/raw_data")
     if raw.isEmpty():
         return []
-    for name, df in analyses(raw).items():
-        path = f"{root}/analysis/{name}"
-        if name == "temporal_analysis":
-            tables.write_partitioned(df, path)
-        else:
-            tables.write_analysis(df, path)
-    return list(analyses(raw))
+    folder = f"{root}/analysis"
+    tables.write_analysis(aggregates.ship_route_rollup(raw), f"{folder}/{ROLLUP}")
+    rollup = spark.read.parquet(f"{folder}/{ROLLUP}")
+    results = {
+        "ship_statistics": aggregates.ship_statistics_of(rollup),
+        "route_performance": aggregates.route_performance_of(rollup),
+        "maintenance_prediction": aggregates.maintenance_prediction_of(rollup),
+        "weather_impact": aggregates.weather_impact(raw),
+        "anomalies_detected": anomalies.anomalies_detected(raw),
+    }
+    for name, df in results.items():
+        tables.write_analysis(df, f"{folder}/{name}")
+    tables.write_partitioned(aggregates.temporal_analysis(raw), f"{folder}/temporal_analysis")
+    return [*results, "temporal_analysis"]
 
 
 def report_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The ten reports over the written tables, by name."""
+    """The ten reports and the fleet figures over the written tables, by name."""
     t = views.load_tables(spark, root)
     tie = TIE if TIE in t["eta_predictions"].columns else None
     return {
@@ -66,6 +65,7 @@ def report_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "next_arrivals": reports.next_arrivals(t["eta_predictions"], tie=tie),
         "fleet_overview": reports.fleet_overview(t["raw_telemetry"]),
         "ship_ranking": reports.ship_ranking(t["ship_statistics"]),
+        "fleet_kpis": aggregates.fleet_kpis_of(spark.read.parquet(f"{root}/analysis/{ROLLUP}")),
     }
 
 

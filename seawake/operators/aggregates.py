@@ -4,52 +4,95 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seawake.functions.moments import micros, recency
+from seawake.functions.moments import micros
 from seawake.functions.rules import guarded_ratio, is_anomaly, maintenance_priority, risk_score
 from seawake.schemas import OPERATING, ROUTE, SHIP, TIE, TIME, OperatingRules
 
 
-def ship_statistics(df: DataFrame, tie: str | None = TIE) -> DataFrame:
+def ship_route_rollup(df: DataFrame, rules: OperatingRules = OPERATING, tie: str | None = TIE) -> DataFrame:
+    """Everything the ship and route analyses need, one row per ship and route.
+
+    Sums, counts, extremes and the first and last fuel level can be merged
+    further, so ship statistics, route performance, maintenance, voyages,
+    comparisons and the fleet figures all follow from this one pass over the raw
+    rows. A caller that wants several of them writes the rollup once (see
+    ``jobs.run_batch``); for a single one Spark prunes the parts not used.
+    """
+    moment = F.struct(TIME, *([tie] if tie else []), "carburant_litres")
+
+    def parts(column: str, short: str) -> list:
+        return [F.sum(column).alias(f"{short}_somme"), F.count(column).alias(f"{short}_n"),
+                F.max(column).alias(f"{short}_max"), F.min(column).alias(f"{short}_min")]
+
+    return df.groupBy(SHIP, *ROUTE).agg(
+        F.count("*").alias("nombre_mesures"),
+        *parts("vitesse_noeuds", "vitesse"),
+        *parts("consommation_horaire_litres", "consommation"),
+        *parts("distance_restante_nm", "distance"),
+        *parts("temperature_eau_celsius", "temp"),
+        F.count_if(F.col("etat_moteur") != rules.engine_normal).alias("incidents"),
+        F.count_if(is_anomaly(rules)).alias("anomalies"),
+        F.min(moment).alias("premier"),
+        F.max(moment).alias("dernier"),
+    )
+
+
+def _mean(short: str) -> Column:
+    return F.try_divide(F.col(f"{short}_somme"), F.col(f"{short}_n"))
+
+
+def _merged_mean(short: str) -> Column:
+    return F.try_divide(F.sum(f"{short}_somme"), F.sum(f"{short}_n"))
+
+
+FUEL_USED = "premier.carburant_litres - dernier.carburant_litres"
+COVERED = "distance_max - distance_min"
+
+
+def ship_statistics_of(rollup: DataFrame) -> DataFrame:
     """Speed, consumption, fuel and distance figures per ship and route."""
-    at = recency(tie)
-    return (
-        df.groupBy(SHIP, *ROUTE)
-        .agg(
-            F.count("*").alias("nombre_mesures"),
-            F.avg("vitesse_noeuds").alias("vitesse_moyenne"),
-            F.max("vitesse_noeuds").alias("vitesse_max"),
-            F.min("vitesse_noeuds").alias("vitesse_min"),
-            F.avg("consommation_horaire_litres").alias("consommation_moyenne"),
-            F.sum("consommation_horaire_litres").alias("consommation_totale"),
-            F.min_by("carburant_litres", at).alias("carburant_initial"),
-            F.max_by("carburant_litres", at).alias("carburant_final"),
-            F.max("distance_restante_nm").alias("distance_debut"),
-            F.min("distance_restante_nm").alias("distance_min_restante"),
-        )
-        .withColumn("carburant_utilise", F.col("carburant_initial") - F.col("carburant_final"))
-        .withColumn("distance_parcourue", F.col("distance_debut") - F.col("distance_min_restante"))
-        .withColumn("efficacite_carburant_nm_per_litre",
-                    guarded_ratio(F.col("distance_parcourue"), F.col("carburant_utilise")))
+    used, covered = F.expr(FUEL_USED), F.expr(COVERED)
+    return rollup.select(
+        SHIP, *ROUTE, "nombre_mesures",
+        _mean("vitesse").alias("vitesse_moyenne"), "vitesse_max", "vitesse_min",
+        _mean("consommation").alias("consommation_moyenne"),
+        F.col("consommation_somme").alias("consommation_totale"),
+        F.col("premier.carburant_litres").alias("carburant_initial"),
+        F.col("dernier.carburant_litres").alias("carburant_final"),
+        F.col("distance_max").alias("distance_debut"),
+        F.col("distance_min").alias("distance_min_restante"),
+        used.alias("carburant_utilise"),
+        covered.alias("distance_parcourue"),
+        guarded_ratio(covered, used).alias("efficacite_carburant_nm_per_litre"),
     )
 
 
-def route_performance(df: DataFrame) -> DataFrame:
+def ship_statistics(df: DataFrame, tie: str | None = TIE) -> DataFrame:
+    return ship_statistics_of(ship_route_rollup(df, tie=tie))
+
+
+def route_performance_of(rollup: DataFrame) -> DataFrame:
+    """A ship has one row per route, so counting rows counts ships; no distinct is needed."""
     return (
-        df.groupBy(*ROUTE)
+        rollup.groupBy(*ROUTE)
         .agg(
-            F.count_distinct(SHIP).alias("nombre_navires"),
-            F.avg("vitesse_noeuds").alias("vitesse_moyenne_route"),
-            F.avg("consommation_horaire_litres").alias("consommation_moyenne_route"),
-            F.avg("distance_restante_nm").alias("distance_moyenne_route"),
+            F.count(SHIP).alias("nombre_navires"),
+            _merged_mean("vitesse").alias("vitesse_moyenne_route"),
+            _merged_mean("consommation").alias("consommation_moyenne_route"),
+            _merged_mean("distance").alias("distance_moyenne_route"),
         )
         .withColumn("temps_estime_heures",
                     guarded_ratio(F.col("distance_moyenne_route"), F.col("vitesse_moyenne_route")))
     )
 
 
+def route_performance(df: DataFrame) -> DataFrame:
+    return route_performance_of(ship_route_rollup(df))
+
+
 def temporal_analysis(df: DataFrame) -> DataFrame:
     return df.groupBy(F.to_date(TIME).alias("date"), F.hour(TIME).alias("hour")).agg(
         F.count_distinct(SHIP).alias("navires_actifs"),
@@ -66,15 +109,15 @@ def weather_impact(df: DataFrame) -> DataFrame:
     )
 
 
-def maintenance_prediction(df: DataFrame, rules: OperatingRules = OPERATING, tie: str | None = TIE) -> DataFrame:
+def maintenance_prediction_of(rollup: DataFrame) -> DataFrame:
     """Risk score and priority per ship."""
     return (
-        df.groupBy(SHIP)
+        rollup.groupBy(SHIP)
         .agg(
-            F.avg("temperature_eau_celsius").alias("temp_moyenne"),
-            F.max("temperature_eau_celsius").alias("temp_max"),
-            F.count_if(F.col("etat_moteur") != rules.engine_normal).alias("incidents_moteur"),
-            F.max_by("carburant_litres", recency(tie)).alias("carburant_actuel"),
+            _merged_mean("temp").alias("temp_moyenne"),
+            F.max("temp_max").alias("temp_max"),
+            F.sum("incidents").alias("incidents_moteur"),
+            F.max("dernier")["carburant_litres"].alias("carburant_actuel"),
         )
         .withColumn("score_risque",
                     risk_score(F.col("temp_max"), F.col("incidents_moteur"), F.col("carburant_actuel")))
@@ -82,6 +125,10 @@ def maintenance_prediction(df: DataFrame, rules: OperatingRules = OPERATING, tie
     )
 
 
+def maintenance_prediction(df: DataFrame, rules: OperatingRules = OPERATING, tie: str | None = TIE) -> DataFrame:
+    return maintenance_prediction_of(ship_route_rollup(df, rules, tie))
+
+
 def fleet_stats(df: DataFrame) -> DataFrame:
     """Records, speed, engine temperature and consumption per ship (extended telemetry)."""
     return df.groupBy(SHIP).agg(
@@ -97,14 +144,15 @@ def low_fuel_counts(df: DataFrame, threshold: float = 20000.0) -> DataFrame:
             .groupBy(SHIP).agg(F.count("*").alias("nb_alerts")))
 
 
-def voyages(df: DataFrame) -> DataFrame:
+def voyages_of(rollup: DataFrame) -> DataFrame:
     """One row per ship and route: distance, fuel used and hours between first and last message."""
-    at = recency(TIE)
-    return df.groupBy(SHIP, *ROUTE).agg(
-        (F.max("distance_restante_nm") - F.min("distance_restante_nm")).alias("distance_nm"),
-        (F.min_by("carburant_litres", at) - F.max_by("carburant_litres", at)).alias("carburant_consomme"),
-        ((micros(F.max(TIME)) - micros(F.min(TIME))) / 3.6e9).alias("temps_heures"),
-    )
+    hours = (micros(F.col("dernier.ts")) - micros(F.col("premier.ts"))) / 3.6e9
+    return rollup.select(SHIP, *ROUTE, F.expr(COVERED).alias("distance_nm"),
+                         F.expr(FUEL_USED).alias("carburant_consomme"), hours.alias("temps_heures"))
+
+
+def voyages(df: DataFrame) -> DataFrame:
+    return voyages_of(ship_route_rollup(df))
 
 
 def route_efficiency(voyage: DataFrame) -> DataFrame:
@@ -115,35 +163,25 @@ def route_efficiency(voyage: DataFrame) -> DataFrame:
     )
 
 
-def ship_vs_route(df: DataFrame) -> DataFrame:
+def ship_vs_route_of(rollup: DataFrame) -> DataFrame:
     """Each ship's mean speed and consumption beside those of its route.
 
-    The raw rows are read and aggregated once; route figures come from the
-    ship sums, so the join sees one row per ship and at most one per route.
+    The join sees one row per ship and route on one side and one per route on
+    the other, never raw rows.
     """
-    ships = df.groupBy(SHIP, *ROUTE).agg(
-        F.count("*").alias("_n"),
-        F.sum("vitesse_noeuds").alias("_speed"),
-        F.sum("consommation_horaire_litres").alias("_use"),
-    )
-    routes = ships.groupBy(*ROUTE).agg(
-        F.try_divide(F.sum("_speed"), F.sum("_n")).alias("vitesse_moyenne_route"),
-        F.try_divide(F.sum("_use"), F.sum("_n")).alias("consommation_moyenne_route"),
-    )
+    routes = route_performance_of(rollup).select(*ROUTE, "vitesse_moyenne_route", "consommation_moyenne_route")
     return (
-        ships.join(routes, list(ROUTE))
-        .select(
-            SHIP, *ROUTE,
-            F.col("_n").alias("nombre_mesures"),
-            F.try_divide("_speed", "_n").alias("vitesse_moyenne"),
-            "vitesse_moyenne_route",
-            F.try_divide("_use", "_n").alias("consommation_moyenne"),
-            "consommation_moyenne_route",
-        )
+        rollup.join(routes, list(ROUTE))
+        .select(SHIP, *ROUTE, "nombre_mesures", _mean("vitesse").alias("vitesse_moyenne"), "vitesse_moyenne_route",
+                _mean("consommation").alias("consommation_moyenne"), "consommation_moyenne_route")
         .withColumn("ecart_vitesse", F.col("vitesse_moyenne") - F.col("vitesse_moyenne_route"))
     )
 
 
+def ship_vs_route(df: DataFrame) -> DataFrame:
+    return ship_vs_route_of(ship_route_rollup(df))
+
+
 def ship_rank_in_route(stats: DataFrame) -> DataFrame:
     """RANK and DENSE_RANK of the ships of a route by efficiency (one row per ship, not per message)."""
     best = Window.partitionBy(*ROUTE).orderBy(F.col("efficacite_carburant_nm_per_litre").desc())
@@ -154,26 +192,17 @@ def ship_rank_in_route(stats: DataFrame) -> DataFrame:
     )
 
 
-def fleet_kpis(df: DataFrame, rules: OperatingRules = OPERATING) -> DataFrame:
+def fleet_kpis_of(rollup: DataFrame) -> DataFrame:
     """Ships, distance, mean speed, anomalies and urgent maintenance in one row.
 
-    Three stacked aggregates over a single scan: (ship, route), ship, fleet.
     ``total_navires`` counts rows of the ship statistics, as the dashboard does.
     """
-    per_route = df.groupBy(SHIP, *ROUTE).agg(
-        F.avg("vitesse_noeuds").alias("speed"),
-        (F.max("distance_restante_nm") - F.min("distance_restante_nm")).alias("distance"),
-        F.count_if(is_anomaly(rules)).alias("anomalies"),
-        F.max("temperature_eau_celsius").alias("temp_max"),
-        F.count_if(F.col("etat_moteur") != rules.engine_normal).alias("incidents"),
-        F.max(F.struct(TIME, TIE, "carburant_litres")).alias("last"),
-    )
-    per_ship = per_route.groupBy(SHIP).agg(
+    per_ship = rollup.groupBy(SHIP).agg(
         F.count("*").alias("rows"),
-        F.sum("speed").alias("speed"),
-        F.sum("distance").alias("distance"),
+        F.sum(_mean("vitesse")).alias("speed"),
+        F.sum(F.expr(COVERED)).alias("distance"),
         F.sum("anomalies").alias("anomalies"),
-        risk_score(F.max("temp_max"), F.sum("incidents"), F.max("last")["carburant_litres"]).alias("score"),
+        risk_score(F.max("temp_max"), F.sum("incidents"), F.max("dernier")["carburant_litres"]).alias("score"),
     )
     return per_ship.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_navires"),
@@ -184,6 +213,10 @@ def fleet_kpis(df: DataFrame, rules: OperatingRules = OPERATING) -> DataFrame:
     )
 
 
+def fleet_kpis(df: DataFrame, rules: OperatingRules = OPERATING) -> DataFrame:
+    return fleet_kpis_of(ship_route_rollup(df, rules))
+
+
 def speed_histogram(df: DataFrame, width: float = 2.0) -> DataFrame:
     edge = F.floor(F.col("vitesse_noeuds") / width) * F.lit(width)
     return df.groupBy(edge.alias("vitesse_min")).agg(F.count("*").alias("nombre"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seawake.functions import rules as R
-from seawake.functions.moments import back
+from seawake.functions.moments import after, back
 from seawake.operators.latest import latest_rows, latest_time
 from seawake.schemas import (DOCUMENTED, OPERATING, SEVERITY, SEVERITY_POINTS, SHIP, TIME, DocumentedRules,
                              OperatingRules)
@@ -64,7 +64,7 @@ def documented_alerts(df: DataFrame, rules: DocumentedRules = DOCUMENTED) -> Dat
 def recent(df: DataFrame, *, days: int = 0, hours: int = 0, as_of: Column | None = None) -> DataFrame:
     """Rows newer than ``as_of`` minus the span; ``as_of`` defaults to the newest row."""
     now = latest_time(df) if as_of is None else as_of
-    return df.filter(F.col(TIME) > back(now, days=days, hours=hours))
+    return df.filter(after(df, back(now, days=days, hours=hours)))
 
 
 def alerts_recent(df: DataFrame, days: int = 1, as_of: Column | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seawake.functions import geo
-from seawake.functions.moments import micros, recency, slot
+from seawake.functions.moments import after, micros, recency, slot
 from seawake.operators.latest import latest_rows, latest_time
 from seawake.schemas import SHIP, TIE, TIME
 
@@ -135,7 +135,18 @@ def since(df: DataFrame, columns: Sequence[str], cutoff: Column, keys: Sequence[
     and only the recent part goes through the ordered computation.
     """
     older = latest_rows(df.filter(F.col(TIME) <= cutoff), columns, keys, tie)
-    return df.select(*columns).filter(F.col(TIME) > cutoff).unionByName(older)
+    return df.filter(after(df, cutoff)).select(*columns).unionByName(older)
+
+
+def fit_slot(df: DataFrame, rows_per_slot: int = 5_000_000, keys: Sequence[str] = (SHIP,)) -> int:
+    """Slot length in seconds at which the busiest key stays near ``rows_per_slot`` rows a slot.
+
+    One counted pass; only the peak count per minute comes back. For fleets in
+    which one ship sends far more than the others.
+    """
+    per_minute = df.groupBy(*keys, slot(F.col(TIME), 60).alias("_m")).agg(F.count("*").alias("n"))
+    peak = per_minute.agg(F.max("n")).first()[0] or 1
+    return 60 * min(max(rows_per_slot // peak, 1), 1440)
 
 
 # --- results ---------------------------------------------------------------

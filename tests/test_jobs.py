@@ -4,6 +4,7 @@ import csv
 import datetime as dt
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ def test_batch_job_can_run_again(spark, root):
 
 def test_reports(spark, root, telemetry):
     made = jobs.report_tables(spark, root)
-    assert len(made) == 10 and all(not df.isEmpty() for df in made.values())
+    assert len(made) == 11 and all(not df.isEmpty() for df in made.values())
     assert same(made["fastest_ships"], reports.fastest_ships(aggregates.ship_statistics(telemetry)))
     assert made["alert_pivot"].agg(F.sum("moteur")).first()[0] > 0
 
@@ -81,6 +82,15 @@ def test_date_filter_prunes_partitions(spark, root):
     assert one.count() == raw.filter(F.to_date("ts") == F.lit(day)).count() > 0
 
 
+def test_recent_rows_prune_partitions(spark, root):
+    from seawake.operators import anomalies
+
+    raw = tables.read_raw(spark, f"{root}/raw_data")
+    plan = anomalies.recent(raw, days=1)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= cast\(", plan)
+    assert anomalies.recent(raw, days=1).count() > 0
+
+
 def test_compaction(spark, root, tmp_path):
     day, target = dt.date(2024, 1, 10), str(tmp_path / "compact")
     for _ in range(2):

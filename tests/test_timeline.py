@@ -124,3 +124,11 @@ def test_results_do_not_depend_on_partitioning(spark, skewed, partitions):
         assert results(skewed.orderBy(F.rand(3))) == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_fit_slot(skewed):
+    peak = (skewed.groupBy("navire_id", F.window("ts", "1 minute")).count().agg(F.max("count")).first()[0])
+    assert timeline.fit_slot(skewed, rows_per_slot=peak * 5) == 300
+    assert timeline.fit_slot(skewed, rows_per_slot=1) == 60
+    assert timeline.fit_slot(skewed) == 86400
+    assert timeline.fit_slot(skewed.limit(0)) == 86400
