@@ -297,6 +297,7 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
                (epoch_us(max(ts)) - epoch_us(min(ts))) / 3.6e9::DOUBLE AS heures FROM telemetry GROUP BY ALL) v
           USING (navire_id, port_depart, port_arrivee) GROUP BY ALL"""),
     "ship_vs_route": ([SHIP_STATS, ROUTE_PERF], """SELECT navire_id, port_depart, port_arrivee, nombre_mesures,
+        CAST(sum(nombre_mesures) OVER (PARTITION BY port_depart, port_arrivee) AS BIGINT) AS nombre_mesures_route,
         vitesse_moyenne, vitesse_moyenne_route, consommation_moyenne, consommation_moyenne_route,
         vitesse_moyenne - vitesse_moyenne_route AS ecart_vitesse
         FROM ship_stats JOIN route_perf USING (port_depart, port_arrivee)"""),

@@ -167,12 +167,18 @@ def ship_vs_route_of(rollup: DataFrame) -> DataFrame:
     """Each ship's mean speed and consumption beside those of its route.
 
     The join sees one row per ship and route on one side and one per route on
-    the other, never raw rows.
+    the other, never raw rows. Both sides use the same columns of the rollup,
+    so Spark computes it once and reads its shuffle twice.
     """
-    routes = route_performance_of(rollup).select(*ROUTE, "vitesse_moyenne_route", "consommation_moyenne_route")
+    routes = rollup.groupBy(*ROUTE).agg(
+        F.sum("nombre_mesures").alias("nombre_mesures_route"),
+        _merged_mean("vitesse").alias("vitesse_moyenne_route"),
+        _merged_mean("consommation").alias("consommation_moyenne_route"),
+    )
     return (
         rollup.join(routes, list(ROUTE))
-        .select(SHIP, *ROUTE, "nombre_mesures", _mean("vitesse").alias("vitesse_moyenne"), "vitesse_moyenne_route",
+        .select(SHIP, *ROUTE, "nombre_mesures", "nombre_mesures_route",
+                _mean("vitesse").alias("vitesse_moyenne"), "vitesse_moyenne_route",
                 _mean("consommation").alias("consommation_moyenne"), "consommation_moyenne_route")
         .withColumn("ecart_vitesse", F.col("vitesse_moyenne") - F.col("vitesse_moyenne_route"))
     )
@@ -242,8 +248,8 @@ def quantiles(df: DataFrame, value: str, names: dict[str, float], keys: Sequence
     bins are put in order.
     """
     counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+        df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(value).alias("_c"))
+        .filter("_c > 0")  # the group of NULL values
         .withColumn("_bin", F.floor(F.col("_v") / bin_width))
     )
     by_bin = Window.partitionBy(*keys).orderBy("_bin")
@@ -260,8 +266,15 @@ def quantiles(df: DataFrame, value: str, names: dict[str, float], keys: Sequence
     ranks = F.array(*[f(rank(p)) for p in names.values() for f in (F.floor, F.ceil)])
     hit = F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_bc")))
     upto = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = bins.filter(hit).select(
+        *[F.col(k).alias(f"_of_{k}") for k in [*keys, "_bin"]], "_before", "_n")
+    # Null-safe equality adds no IS NOT NULL filters to one side only, so both
+    # sides share a single scan and shuffle of the counted values.
+    match = F.lit(True)
+    for k in [*keys, "_bin"]:
+        match = match & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     placed = (
-        counted.join(bins.filter(hit).drop("_bc"), [*keys, "_bin"])
+        counted.join(wanted, match)
         .withColumn("_end", F.col("_before") + F.sum("_c").over(upto))
         .withColumn("_start", F.col("_end") - F.col("_c"))
     )

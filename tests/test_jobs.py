@@ -138,3 +138,29 @@ def test_empty_archive_stops_the_batch_job(spark, tmp_path):
     messages.enrich_time(rows_of(spark, {}), False).limit(0).drop("date").write.parquet(f"{base}/raw_data")
     assert jobs.run_batch(spark, base) == []
     assert not os.path.exists(f"{base}/analysis")
+
+
+def test_command_line(spark, root, capsys):
+    jobs.main(["batch", "--root", root])
+    assert "ship_statistics" in capsys.readouterr().out
+    jobs.main(["reports", "--root", root])
+    assert "== ship_ranking" in capsys.readouterr().out
+
+
+def test_command_line_streams_and_compacts(spark, telemetry, tmp_path):
+    inbox, base = str(tmp_path / "inbox"), str(tmp_path / "root")
+    messages.tracking_messages(telemetry).select("value").write.text(inbox)
+    jobs.main(["stream", "--root", base, "--messages", inbox, "--once", "--console"])
+    jobs.main(["compact", "--root", base, "--day", "2024-01-02", "--target", f"{base}/compact"])
+    assert os.path.isdir(f"{base}/compact/date=2024-01-02")
+
+
+def test_kafka_needs_its_connector(spark):
+    from pyspark.errors import AnalysisException
+
+    try:
+        source = io.message_source(spark, "kafka", brokers="localhost:1", topic="t")
+    except AnalysisException as error:
+        assert "kafka" in str(error).lower()
+    else:
+        assert {"key", "value", "topic"} <= set(source.columns)
