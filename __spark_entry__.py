@@ -84,15 +84,15 @@ def _pruned_hourly_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the archive by date and hour, then reads a range of partitions."""
     import datetime as dt
 
-    rows = _with_date(events.read_telemetry(session.prepare(spark), sf_dir))
+    rows = _with_date(events.read_telemetry(session.prepare(spark), sf_dir)).select(
+        TIE, TIME, SHIP, "vitesse_noeuds", "date", "hour")
     path = session.shared_dir(spark, "archive")
     tables.write_partitioned(rows, path, ["date", "hour"])
     archive = tables.read_raw(spark, path, T.StructType(
         [f for f in rows.schema.fields if f.name not in ("date", "hour")]
         + [T.StructField("date", T.DateType()), T.StructField("hour", T.IntegerType())]))
     days = tables.between_dates(archive, dt.date(2024, 1, 8), dt.date(2024, 1, 14))
-    return days.filter(F.col("hour").between(6, 11)).select(
-        TIE, TIME, SHIP, "vitesse_noeuds", "date", "hour")
+    return days.filter(F.col("hour").between(6, 11))
 
 
 def _table_counts(t: DataFrame) -> DataFrame:

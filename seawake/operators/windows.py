@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,30 +67,44 @@ def window_distance(df: DataFrame, span: int = FIVE_MINUTES) -> DataFrame:
     )
 
 
-def path_length(points: Column) -> Column:
-    """Length of a path given as an array of (time, tie, latitude, longitude), in any order."""
-    ordered = F.array_sort(points)
-    start = F.struct(F.lit(0.0).alias("nm"), ordered[0].alias("at"))
+def _leg(a: Column, b: Column) -> Column:
+    return geo.distance_nm(a["latitude"], a["longitude"], b["latitude"], b["longitude"])
+
 
-    def step(state: Column, point: Column) -> Column:
-        leg = geo.distance_nm(state["at"]["latitude"], state["at"]["longitude"],
-                              point["latitude"], point["longitude"])
-        return F.struct((state["nm"] + leg).alias("nm"), point.alias("at"))
+def _walk(ordered: Column) -> Column:
+    """Length of a chain of pieces, each with its length ``nm`` and its points ``first`` and ``last``."""
+    start = F.struct(ordered[0]["nm"].alias("nm"), ordered[0]["last"].alias("last"))
+
+    def step(state: Column, piece: Column) -> Column:
+        nm = state["nm"] + _leg(state["last"], piece["first"]) + piece["nm"]
+        return F.struct(nm.alias("nm"), piece["last"].alias("last"))
 
     return F.aggregate(F.slice(ordered, F.lit(2), F.size(ordered)), start, step, lambda state: state["nm"])
 
 
-def window_distance_by_array(df: DataFrame, span: int = FIVE_MINUTES) -> DataFrame:
+def window_distance_by_pieces(df: DataFrame, span: int = FIVE_MINUTES, piece: int = 60) -> DataFrame:
     """The streaming form of :func:`window_distance` (LAG is not available on streams).
 
-    A window's array holds the messages one ship sends within one span.
+    Two stacked window aggregations: the positions of a ship within one minute
+    become a piece of the path, and the pieces of a window are joined up. An
+    array therefore holds one ship's messages of a minute, or one entry per
+    minute of the window.
     """
-    points = F.collect_list(F.struct(TIME, TIE, "latitude", "longitude"))
+    piece = math.gcd(span, piece)
+    place = F.struct("latitude", "longitude")
+    point = F.struct(TIME, TIE, F.lit(0.0).alias("nm"), place.alias("first"), place.alias("last"))
+    points = F.array_sort(F.col("_points"))
+    pieces = (
+        df.groupBy(tumbling(piece).alias("piece"), SHIP).agg(F.collect_list(point).alias("_points"))
+        .select("piece", SHIP, F.size("_points").cast("bigint").alias("_n"), F.struct(
+            F.col("piece.start").alias("at"), _walk(points).alias("nm"), points[0]["first"].alias("first"),
+            F.element_at(points, -1)["last"].alias("last")).alias("_piece"))
+    )
     return (
-        df.groupBy(tumbling(span), SHIP).agg(points.alias("_points"))
+        pieces.groupBy(F.window("piece", f"{span} seconds").alias("window"), SHIP)
+        .agg(F.sum("_n").alias("nombre_positions"), F.collect_list("_piece").alias("_pieces"))
         .select(SHIP, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                F.size("_points").cast("bigint").alias("nombre_positions"),
-                path_length(F.col("_points")).alias("distance_nm"))
+                "nombre_positions", _walk(F.array_sort("_pieces")).alias("distance_nm"))
     )
 
 

@@ -18,7 +18,7 @@ def window_stats(df: DataFrame, span: int = windows.FIVE_MINUTES, delay: str = D
 
 
 def window_distance(df: DataFrame, span: int = windows.FIVE_MINUTES, delay: str = DELAY) -> DataFrame:
-    return windows.window_distance_by_array(df.withWatermark(TIME, delay), span)
+    return windows.window_distance_by_pieces(df.withWatermark(TIME, delay), span)
 
 
 def window_alert_score(df: DataFrame, span: int = windows.FIVE_MINUTES, delay: str = DELAY) -> DataFrame:

@@ -86,7 +86,7 @@ def test_latest_keeps_ties(spark):
 def test_window_distance_forms_agree(skewed):
     for span in (300, 6 * 3600, 48 * 3600):
         a = windows.window_distance(skewed, span).withColumn("distance_nm", F.round("distance_nm", 6))
-        b = windows.window_distance_by_array(skewed, span).withColumn("distance_nm", F.round("distance_nm", 6))
+        b = windows.window_distance_by_pieces(skewed, span).withColumn("distance_nm", F.round("distance_nm", 6))
         assert same(a, b)
 
 
