@@ -48,7 +48,8 @@ def _on_stream(build: Callable[[DataFrame], DataFrame], partitions: tuple[str, .
         session.prepare(spark)
         root = session.shared_dir(spark, "stream")
         query = io.write_stream(build(io.event_telemetry(spark, sf_dir)), "out", root,
-                                partitions=partitions, trigger=io.ONCE)
+                                partitions=partitions, trigger=io.ONCE,
+                                state_partitions=io.one_store_per_core(spark))
         query.awaitTermination()
         return _ntz(spark.read.parquet(f"{root}/out"))
     return run

@@ -57,13 +57,15 @@ def _triggered(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
 
 def write_stream(df: DataFrame, name: str, root: str, *, kind: str = "parquet",
                  partitions: Sequence[str] = (), trigger: str = "1 minute",
-                 brokers: str = "localhost:9092") -> StreamingQuery:
+                 brokers: str = "localhost:9092", state_partitions: int | None = None) -> StreamingQuery:
     """Starts an append query with its own checkpoint under ``root``.
 
     ``parquet`` and a restart from the checkpoint give exactly-once files;
     ``kafka`` takes columns key, value, topic and delivers at least once;
     ``console`` is for debugging. ``trigger`` is an interval, or ``ONCE`` to
-    work off what is there and stop.
+    work off what is there and stop. ``state_partitions`` is the number of state
+    stores of a stateful query, fixed by its first start (default: the session's
+    shuffle partitions).
     """
     writer = (df.writeStream.outputMode("append").queryName(name)
               .option("checkpointLocation", f"{root}/checkpoints/{name}"))
@@ -77,4 +79,19 @@ def write_stream(df: DataFrame, name: str, root: str, *, kind: str = "parquet",
         writer = writer.format("console").option("truncate", False)
     else:
         raise ValueError(f"unknown sink kind: {kind}")
-    return _triggered(writer, trigger).start()
+    writer = _triggered(writer, trigger)
+    if state_partitions is None:
+        return writer.start()
+    # A query copies the session's settings when it starts.
+    conf, key = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set(key, before)
+
+
+def one_store_per_core(spark: SparkSession) -> int:
+    """State partitions for a cluster: the session's shuffle partitions, but no more than there are cores."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

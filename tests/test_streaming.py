@@ -148,3 +148,14 @@ def test_shared_dir_comes_from_the_session(spark):
 
 def test_rows_of_has_event_time(spark):
     assert rows_of(spark, {}).schema["ts"].dataType.typeName() == "timestamp_ntz"
+
+
+def test_state_partitions(spark, tmp_path):
+    inbox, root = tmp_path / "in", tmp_path / "out"
+    write_file(inbox, "1.json", message())
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    query = run(queries.window_stats(source(spark, inbox)), "aggregated", root, state_partitions=2)
+    assert query.recentProgress[0].stateOperators[0].numShufflePartitions == 2
+    assert spark.conf.get(key) == before
+    assert io.one_store_per_core(spark) == 4
