@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from seawake import session
-from seawake.llm import language, secrets, token_counts, token_files, toxicity
+from seawake.llm import decontaminate, jaccard_join, language, secrets, token_counts, token_files, toxicity
 from seawake.llm.common import table
 
 WORD_TOKENIZER, PIECE_TOKENIZER = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -19,6 +19,10 @@ def op3_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer(PIECE_TOKENIZER))
 
@@ -34,9 +38,15 @@ def op7_secrets(spark, sf_dir):
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark, sf_dir):
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.with_digests(found)
+
+
 def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_language, op5_token_counts, op6_token_files, op7_secrets, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op3_language, op4_jaccard_join, op5_token_counts, op6_token_files, op7_secrets, op8_decontaminate, op10_toxicity)}
 ORACLE: dict[str, str] = {}
