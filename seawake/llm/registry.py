@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from seawake import session
-from seawake.llm import decontaminate, jaccard_join, language, secrets, token_counts, token_files, toxicity
+from seawake.llm import (
+    decontaminate, jaccard_join, language, line_dedup, mixture, quality, secrets, token_counts, token_files, toxicity)
 from seawake.llm.common import table
 
 WORD_TOKENIZER, PIECE_TOKENIZER = "word_bpe_49k.json", "piece_bpe_32k.model"
 
+MIX = mixture.Mix(
+    domains={"0": "web", "1": "web", "2": "web", "3": "web", "4": "web", "5": "books", "6": "books", "7": "books",
+             "8": "papers", "9": "papers"},
+    weights={"domain": {"web": 5, "books": 3, "papers": 4}, "lang": {"en": 6, "de": 3, "fr": 2, "es": 2},
+             "source": {"src0": 4, "src5": 2, "src8": 3}})
+
 
 def tokenizer(name: str) -> str:
     import public_tokenizers
@@ -15,6 +22,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mixture(spark, sf_dir):
+    return mixture.mixture(table(spark, sf_dir, "documents"), MIX)
+
+
+def op2_quality(spark, sf_dir):
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -43,10 +58,63 @@ def op8_decontaminate(spark, sf_dir):
     return decontaminate.with_digests(found)
 
 
+def op9_line_dedup(spark, sf_dir):
+    return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_language, op4_jaccard_join, op5_token_counts, op6_token_files, op7_secrets, op8_decontaminate, op10_toxicity)}
-ORACLE: dict[str, str] = {}
+    op1_mixture, op2_quality, op3_language, op4_jaccard_join, op5_token_counts, op6_token_files, op7_secrets, op8_decontaminate,
+    op9_line_dedup, op10_toxicity)}
+
+
+
+def _levels() -> str:
+    out = ""
+    for k, (path, up) in enumerate((("domain", None), ("domain, lang", "domain"), ("domain, lang, source", "domain, lang"))):
+        name = path.split(", ")[-1]
+        cases = " ".join(f"WHEN '{n}' THEN {w}" for n, w in MIX.weights[name].items())
+        budget = (f"least(floor(sum(sum(tokens)) OVER () * {MIX.budget_percent} / 100)::HUGEINT, sum(sum(capacity)) OVER ())"
+                  if up is None else "any_value(p.budget)")
+        join = f"JOIN n{k - 1} p USING ({up})" if up else ""
+        over = f"PARTITION BY {up}" if up else ""
+        order = f"{over} ORDER BY capacity::DOUBLE / weight::DOUBLE, {name}"
+        out += f"""
+l{k} AS (SELECT {path}, sum(capacity)::HUGEINT AS capacity, (CASE {name} {cases} ELSE {MIX.default} END)::HUGEINT AS weight,
+  ({budget})::HUGEINT AS budget FROM leaves {join} GROUP BY {path}),
+f{k} AS (SELECT *, capacity * (sum(weight) OVER ({over}) - coalesce(sum(weight) OVER (
+    {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) <= (budget - coalesce(sum(capacity) OVER (
+    {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight AS is_full FROM l{k} WHERE capacity > 0),
+g{k} AS (SELECT *, (budget - coalesce(sum(capacity) FILTER (WHERE is_full) OVER ({over}), 0))::HUGEINT AS rest,
+  (CASE WHEN is_full THEN 0 ELSE weight END)::HUGEINT AS own,
+  coalesce(sum(weight) FILTER (WHERE NOT is_full) OVER ({over}), 0)::HUGEINT AS whole_weight,
+  sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::HUGEINT AS upto
+  FROM f{k}),
+n{k} AS (SELECT {path}, CASE WHEN is_full THEN capacity
+  ELSE rest * upto // whole_weight - rest * (upto - own) // whole_weight END AS budget FROM g{k}),"""
+    return out
+
+
+_DOMAIN = " ".join(f"WHEN '{d}' THEN '{n}'" for d, n in MIX.domains.items())
+ORACLE = {
+    "op1_mixture": rf"""
+WITH t AS (SELECT doc_id, CASE regexp_extract(coalesce(source, '(none)'), '([0-9])$', 1) {_DOMAIN} ELSE 'other' END AS domain,
+  coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+  len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n_tokens FROM documents),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, sum(n_tokens)::HUGEINT * {MIX.epochs} AS capacity
+  FROM t WHERE n_tokens > 0 GROUP BY ALL),{_levels()}
+b AS (SELECT l.*, (n.budget // l.tokens)::BIGINT AS whole, (n.budget % l.tokens)::BIGINT AS rest
+  FROM leaves l JOIN n2 n USING (domain, lang, source) WHERE n.budget > 0),
+o AS (SELECT t.*, whole, rest, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5(concat_ws(':', '{MIX.seed}', (whole + 1)::VARCHAR, coalesce(doc_id::VARCHAR, '(none)'))), doc_id, n_tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS earlier
+  FROM t JOIN b USING (domain, lang, source) WHERE n_tokens > 0)
+SELECT doc_id, domain, lang, source, n_tokens, unnest(range(1, whole + 1))::INTEGER AS epoch, n_tokens AS taken FROM o
+UNION ALL
+SELECT doc_id, domain, lang, source, n_tokens, (whole + 1)::INTEGER, least(n_tokens, rest - earlier) FROM o WHERE rest > earlier
+""",
+    "op9_line_dedup": line_dedup.ORACLE,
+}
