@@ -18,6 +18,14 @@ from seawake.schemas import SHIP, TIE, TIME
 from seawake.sources import events, messages, tables
 from seawake.streaming import io, queries as streams
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from seawake.llm import registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "seawake.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 HALF_DAY = 12 * 3600
 SIX_HOURS = 6 * 3600
@@ -126,6 +134,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    optional = {} if llm is None else {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+    return _telemetry_queries() | optional
+
+
+def _telemetry_queries() -> dict[str, Query]:
     on, ext = _on_telemetry, lambda build: _on_telemetry(build, extended=True)
     return {
         # scans, messages, tables
@@ -242,4 +255,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    optional = {} if llm is None else dict(llm.ORACLE)
+    if llm is not None and corpus_pipeline.ORACLE_SQL:
+        optional["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return ORACLE | optional
