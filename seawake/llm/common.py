@@ -53,5 +53,5 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table to the shared folder and reads it: the work is done once and survives lost executors."""
     spark = df.sparkSession
     path = session.shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

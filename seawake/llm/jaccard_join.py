@@ -23,11 +23,14 @@ SHINGLE = 5
 SHARE = 75  # documents link when 100 * intersection >= SHARE * union
 SUBSET = 2
 LARGEST_SMALL = 64
-CELLS, BLOCK = 1 << 22, 1 << 16  # of the count sketch, and of a row that carries a part of it
+WORDS = 4  # of 64 bits, of the bitmap of a set's listed tokens
+SELDOM = 16  # sets of equal size that link share about a tenth of their shingles in their prefixes
+CELLS, BLOCK = 1 << 20, 1 << 14  # of the count sketch, and of a row that carries a part of it
 BITS = 1 << 24  # of the bitmap of candidates
 ENTRY = np.dtype([("token", "<u8"), ("id", "<i8"), ("n", "<i4"), ("place", "<i4")])
 SINGLE, PAIR, COMMON = 0, 1, 2
 
+KEYS = "doc_id long, n_shingles long, k1 long, k2 long, block int, cells binary"
 SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, common int, singles int, tokens binary"
 ENTRIES = "token long, id long, n int, place int, kind int"
 
@@ -46,22 +49,45 @@ def least_overlap(n: int) -> int:
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(42)).astype(np.int64)
+    return (hashes >> np.uint64(44)).astype(np.int64)
 
 
-def rarity_sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of all shingles by cell of a fixed-size sketch, and the number of small sets by size.
+def set_key(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits that equal sets share."""
+    first = np.bitwise_xor.reduce(mix(hashes))
+    second = mix(hashes + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64)
+    return int(first.astype(np.int64)), int(second.astype(np.int64))
 
-    Each task adds up its own cells; equal cells then meet in a few streams, and one sketch reaches the driver.
-    """
-    def count(batches: Iterator[pa.RecordBatch]):
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Set size and set key of each document and, in rows of their own, each task's counts of shingles by cell of a
+    fixed-size sketch; the block after the last counts small sets by size."""
+    def run(batches: Iterator[pa.RecordBatch]):
         cells, sizes = np.zeros(CELLS, np.uint32), np.zeros(BLOCK, np.uint32)
+        nothing = [pa.int32(), pa.binary()]
         for batch in batches:
-            for _, hashes in doc_sets(batch.column(0)):
-                np.add.at(cells, _cell(hashes), 1)
+            n = batch.num_rows
+            size, k1, k2 = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+            for row, hashes in doc_sets(batch.column(1)):
+                size[row] = len(hashes)
+                if len(hashes):
+                    np.add.at(cells, _cell(hashes), 1)
+                    k1[row], k2[row] = set_key(hashes)
                 sizes[min(len(hashes), LARGEST_SMALL + 1)] += 1
-        yield _blocks([*cells.reshape(-1, BLOCK), sizes])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(size), pa.array(k1), pa.array(k2), *(pa.nulls(n, t) for t in nothing)], names)
+        parts = [p.tobytes() for p in (*cells.reshape(-1, BLOCK), sizes)]
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.nulls(len(parts), pa.int64()) for _ in range(4)), pa.array(range(len(parts)), pa.int32()),
+             pa.array(parts, pa.binary())], names)
+
+    names = [part.split()[0] for part in KEYS.split(", ")]
+    return docs.mapInArrow(run, KEYS)
+
 
+def summed_sketch(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The tasks' sketches added up, and the small sets by size. Equal blocks meet in streams; one sketch reaches the
+    driver."""
     def add(batches: Iterator[pa.RecordBatch]):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -72,16 +98,10 @@ def rarity_sketch(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())],
                                              ["block", "cells"])
 
-    def _blocks(parts):
-        return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()),
-                                           pa.array([p.tobytes() for p in parts], pa.binary())], ["block", "cells"])
-
-    schema = "block int, cells binary"
-    rows = docs.select("text").mapInArrow(count, schema).repartition(F.col("block")).mapInArrow(add, schema).collect()
-    parts = {r.block: np.frombuffer(r.cells, np.uint32) for r in rows}
-    n = CELLS // BLOCK
-    return (np.concatenate([parts.get(k, np.zeros(BLOCK, np.uint32)) for k in range(n)]),
-            parts.get(n, np.zeros(BLOCK, np.uint32))[:LARGEST_SMALL + 2])
+    blocks = keys.filter("block is not null").select("block", "cells").repartition(F.col("block"))
+    parts = {r.block: np.frombuffer(r.cells, np.uint32) for r in blocks.mapInArrow(add, "block int, cells binary").collect()}
+    n, none = CELLS // BLOCK, np.zeros(BLOCK, np.uint32)
+    return np.concatenate([parts.get(k, none) for k in range(n)]), parts.get(n, none)[:LARGEST_SMALL + 2]
 
 
 def ranks(cells: np.ndarray) -> np.ndarray:
@@ -94,12 +114,11 @@ def boundary(sizes: np.ndarray, cells: np.ndarray) -> int:
     """The size up to which sets are joined on subsets, where the two kinds of work together cost the least.
 
     Subsets cost one entry each. A single shingle costs an entry and the scan of its list, whose mean length is
-    estimated from the sketch's second moment. Sets of three quarters of the boundary and more also need singles, so
-    that larger sets find them.
+    estimated from the sketch: cells of rare shingles vary more than by chance as far as shingles recur. Sets of three
+    quarters of the boundary and more also need singles, so that larger sets find them.
     """
-    total = float(cells.sum())
-    square = float((cells.astype(np.float64) ** 2).sum())
-    length = max(1.0, (square - total * total / CELLS) / max(total, 1.0))
+    rare = cells[ranks(cells) == 0].astype(np.float64)
+    length = max(1.0, rare.var() / max(rare.mean(), 1e-9)) if len(rare) else 1.0
     n = np.arange(len(sizes))
     prefix = n - np.array([least_overlap(int(k)) for k in n]) + 1
     subsets, singles = sizes * (prefix + 1) * prefix / 2, sizes * prefix * (1 + length)
@@ -108,7 +127,7 @@ def boundary(sizes: np.ndarray, cells: np.ndarray) -> int:
 
 
 def signed(docs: DataFrame, rank, small: int) -> DataFrame:
-    """Each document's set size and 128-bit set key, and the tokens it is looked up by.
+    """The tokens that each document is looked up by, with its set size and key.
 
     ``tokens`` holds ``singles`` shingles, the last ``common`` of which are frequent ones, then subsets.
     """
@@ -122,8 +141,7 @@ def signed(docs: DataFrame, rank, small: int) -> DataFrame:
             if not n:
                 continue
             size[row] = n
-            k1[row] = np.bitwise_xor.reduce(mix(hashes)).astype(np.int64)
-            k2[row] = mix(hashes + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64).astype(np.int64)
+            k1[row], k2[row] = set_key(hashes)
             order = table[_cell(hashes)]
             prefix = n - least_overlap(n) + 1
             hashes = hashes[np.argsort(order, kind="stable")[:prefix + 1]]
@@ -143,6 +161,19 @@ def signed(docs: DataFrame, rank, small: int) -> DataFrame:
     return map_batches(docs, rows, SIGNED)
 
 
+def _packed(entries: np.ndarray) -> bytes:
+    """Entries field by field: all but the tokens then compress well."""
+    return b"".join(entries[name].tobytes() for name in ENTRY.names)
+
+
+def _unpacked(data: pa.Buffer) -> np.ndarray:
+    out, at = np.empty(len(data) // ENTRY.itemsize, ENTRY), 0
+    for name in ENTRY.names:
+        out[name] = np.frombuffer(data, ENTRY[name], len(out), at)
+        at += len(out) * ENTRY[name].itemsize
+    return out
+
+
 def shared_entries(sets: DataFrame, buckets: int) -> DataFrame:
     """(token, id, n, place, kind) of the tokens that two sets or more have.
 
@@ -169,11 +200,11 @@ def shared_entries(sets: DataFrame, buckets: int) -> DataFrame:
             entry, where = entry[order], where[order]
             bucket, first = np.unique(where, return_index=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket.astype(np.int32)), pa.array([x.tobytes() for x in np.split(entry, first[1:])], pa.binary())],
+                [pa.array(bucket.astype(np.int32)), pa.array([_packed(x) for x in np.split(entry, first[1:])], pa.binary())],
                 ["bucket", "entries"])
 
     def live(batches: Iterator[pa.RecordBatch]):
-        parts = [np.frombuffer(x.as_buffer(), ENTRY) for b in batches for x in b.column(1)]
+        parts = [_unpacked(x.as_buffer()) for b in batches for x in b.column(1)]
         if not parts:
             return
         entry = np.concatenate(parts)
@@ -196,12 +227,36 @@ def shared_entries(sets: DataFrame, buckets: int) -> DataFrame:
     return packed.repartition(buckets, "bucket").mapInArrow(live, ENTRIES)
 
 
-def _fits(a: str, b: str) -> F.Column:
-    """Sizes and places of two entries allow a link, if this is the first token that both have."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    rest = F.least(n - F.col(f"{a}.place"), m - F.col(f"{b}.place"))
-    sized = (n * 100 >= m * SHARE) & (m * 100 >= n * SHARE)
-    return sized & ((F.col(f"{a}.kind") == PAIR) | (rest * (100 + SHARE) >= (n + m) * SHARE))
+def _prefix(n: F.Column) -> F.Column:
+    return n - F.ceil(n * SHARE / 100) + 1
+
+
+def _outside(n: F.Column, m: F.Column) -> F.Column:
+    """The most shingles that two sets can share outside their prefixes."""
+    return F.greatest(n - _prefix(n), m - _prefix(m))
+
+
+def _enough(shared: F.Column, n: F.Column, m: F.Column) -> F.Column:
+    """Whether so many shared prefix tokens are enough for a link."""
+    return (shared + _outside(n, m)) * (100 + SHARE) >= (n + m) * SHARE
+
+
+def _most_shared() -> F.Column:
+    """The most listed tokens that two sets can share: no more than either has, nor than their bitmaps have in common
+    and one of them has on bits that are taken already."""
+    common = sum(F.bit_count(F.col(f"a.w{k}").bitwiseAND(F.col(f"b.w{k}"))) for k in range(WORDS))
+    return F.least(F.col("a.live"), F.col("b.live"), common + F.least(F.col("a.twice"), F.col("b.twice")))
+
+
+def _may_link() -> F.Column:
+    """Whether a pair's sizes, shared prefix tokens (``c``) and the last of their places leave room for a link.
+
+    Whatever else the two have in common stands behind the last shared token in both, and behind the prefix of at
+    least one of them.
+    """
+    behind = F.least(F.col("n") - F.col("place_a"), F.col("m") - F.col("place_b")) - 1
+    most = F.col("c") + F.least(behind, _outside(F.col("n"), F.col("m")))
+    return (F.col("subsets") > 0) | ((F.col("c") > 0) & (most * (100 + SHARE) >= (F.col("n") + F.col("m")) * SHARE))
 
 
 def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -246,17 +301,20 @@ def near_copies(entries: DataFrame) -> DataFrame:
     """One promising partner (b) for each set (a): the leader it meets most often.
 
     A token's leader is the set for which it is among the rarest; in a group of near copies that is one with few
-    changes of its own. The number of pairs grows with the entries, not with their square.
+    changes of its own. The number of pairs grows with the entries, not with their square. A set that meets its leader
+    too seldom for a link is left to the second step, as are all other partners.
     """
     leader = entries.groupBy("token").agg(
         F.min_by("id", F.shiftleft(F.col("place").cast("long"), 40) + F.pmod(F.xxhash64("id"), F.lit(1 << 40))).alias("b"),
         F.count("*").alias("length")).filter("length > 1").drop("length")
-    met = entries.join(leader, "token").filter("id <> b").groupBy("id", "b").agg(F.count("*").alias("times"))
+    met = entries.join(leader, "token").filter("id <> b").groupBy("id", "b").agg(
+        F.count("*").alias("times"), F.first("n").alias("n"))
+    met = met.filter(F.col("times") * SELDOM >= F.col("n"))
     return met.groupBy(F.col("id").alias("a")).agg(F.max_by("b", "times").alias("b"))
 
 
 def cross_pairs(entries: DataFrame, groups: DataFrame, small: int) -> DataFrame:
-    """All pairs that share a token, fit, and are not yet in one group.
+    """All pairs that share tokens, may link by their number and places, and are not yet in one group.
 
     In each list the largest group is set aside: its sets meet those of other groups, never one another.
     """
@@ -267,12 +325,29 @@ def cross_pairs(entries: DataFrame, groups: DataFrame, small: int) -> DataFrame:
     largest = entries.groupBy("token", "own").agg(F.count("*").alias("n")).groupBy("token").agg(
         F.max_by("own", "n").alias("main"))
     entries = entries.join(largest, "token")
+    spot = f"pmod(xxhash64(token, 1), {64 * WORDS})"
+    marks = [F.expr(f"bit_or(if({spot} div 64 = {k}, shiftleft(1L, cast({spot} % 64 as int)), 0L))").alias(f"w{k}")
+             for k in range(WORDS)]
+    singles = entries.filter(F.col("kind") != PAIR).groupBy("id").agg(F.count("*").alias("live"), *marks)
+    singles = singles.withColumn("twice", F.col("live") - sum(F.bit_count(f"w{k}") for k in range(WORDS)))
+    entries = entries.join(singles, "id", "left")
     a, b = entries.filter("own <> main").alias("a"), entries.alias("b")
     once = (F.col("b.own") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))
-    needed = (F.col("a.kind") == PAIR) | (F.col("a.n") > small) | (F.col("b.n") > small)
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.own") != F.col("b.own"))
-                   & (F.col("a.kind") == F.col("b.kind")) & once & needed & _fits("a", "b"))
-    return pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+    subset = F.col("a.kind") == PAIR
+    needed = subset | (F.col("a.n") > small) | (F.col("b.n") > small)
+    sized = (F.col("a.n") * 100 >= F.col("b.n") * SHARE) & (F.col("b.n") * 100 >= F.col("a.n") * SHARE)
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.own") != F.col("b.own"))
+                 & (F.col("a.kind") == F.col("b.kind")) & once & needed & sized
+                 & (subset | _enough(_most_shared(), F.col("a.n"), F.col("b.n"))))
+    place = [F.when(~subset, F.col(f"{x}.place")) for x in "ab"]
+    first = F.col("a.id") < F.col("b.id")
+    met = met.select(*[F.when(first, x).otherwise(y).alias(name) for name, x, y in (
+        ("a", F.col("a.id"), F.col("b.id")), ("b", F.col("b.id"), F.col("a.id")), ("n", F.col("a.n"), F.col("b.n")),
+        ("m", F.col("b.n"), F.col("a.n")), ("place_a", *place), ("place_b", *reversed(place)))], subset.cast("int").alias("subset"))
+    pairs = met.groupBy("a", "b").agg(
+        F.max("n").alias("n"), F.max("m").alias("m"), F.max("place_a").alias("place_a"), F.max("place_b").alias("place_b"),
+        F.sum(1 - F.col("subset")).alias("c"), F.sum("subset").alias("subsets"))
+    return pairs.filter(_may_link()).select("a", "b")
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -288,12 +363,14 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     """
     docs = texts(docs)
     spark = docs.sparkSession
-    cells, sizes = rarity_sketch(docs)
+    keys = written(keyed(docs), "keys")
+    cells, sizes = summed_sketch(keys)
     small = boundary(sizes, cells)
-    sets = written(signed(docs, spark.sparkContext.broadcast(ranks(cells)), small), "sets")
+    sets = keys.filter("block is null").select("doc_id", "n_shingles", "k1", "k2")
     classes = sets.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    reps = sets.join(classes.filter("rep is not null").select("k1", "k2", F.col("rep").alias("doc_id")),
-                     ["k1", "k2", "doc_id"], "left_semi")
+    tokens = signed(docs, spark.sparkContext.broadcast(ranks(cells)), small)
+    reps = classes.filter("rep is not null").select("k1", "k2", F.col("rep").alias("doc_id"))
+    reps = tokens.filter("n_shingles > 0 and doc_id is not null").join(reps, ["k1", "k2", "doc_id"], "left_semi")
     entries = written(shared_entries(reps, _buckets(sets)), "entries").dropDuplicates(["token", "id", "kind"])
 
     links = written(linked(near_copies(entries), docs), "links")
@@ -309,5 +386,6 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
 
 def _buckets(sets: DataFrame) -> int:
     """Buckets of about a million entries, and one for each shuffle partition at least."""
-    total = sets.agg(F.sum(F.octet_length("tokens") / 8)).first()[0] or 0
-    return max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // 1_000_000 + 1)
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    least = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, int(total * (100 - SHARE) / 100) // 1_000_000 + 1)
