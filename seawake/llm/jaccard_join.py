@@ -193,7 +193,7 @@ def shared_entries(sets: DataFrame, buckets: int) -> DataFrame:
                 key = np.where(kind == COMMON, np.uint64(doc_id & 0xFFFFFFFF), token)
                 parts.append(entry)
                 where.append(mix(key.astype(np.uint64)) % np.uint64(buckets))
-            if not parts:
+            if not sum(map(len, parts)):
                 continue
             entry, where = np.concatenate(parts), np.concatenate(where)
             order = np.argsort(where, kind="stable")

@@ -43,19 +43,17 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the letter trigrams of a whole text, in ascending order, and how often each occurs.
 
     Letters are lower-cased, anything between them is one gap, and a text begins and ends with one. Very long texts
-    are counted piece by piece with an overlap.
+    are counted piece by piece; a piece's last two symbols open the next.
     """
-    table, total = _symbols(), None
+    table, total, tail = _symbols(), None, np.zeros(1, np.uint8)
     for a in range(0, len(text), PIECE):
-        part = text[max(0, a - GRAM + 1):a + PIECE].lower().encode("utf-32-le", "surrogatepass")
-        s = table[np.frombuffer(part, "<u4")]
-        if a == 0:
-            s = np.concatenate(([np.uint8(0)], s))
-        if a + PIECE >= len(text):
-            s = np.concatenate((s, [np.uint8(0)]))
-        s = s[np.concatenate(([True], (s[1:] > 0) | (s[:-1] > 0)))].astype(np.int32)
+        part = text[a:a + PIECE].lower().encode("utf-32-le", "surrogatepass")
+        last = [np.zeros(1, np.uint8)] if a + PIECE >= len(text) else []
+        s = np.concatenate([tail, table[np.frombuffer(part, "<u4")], *last])
+        s = s[np.concatenate(([True], (s[1:] > 0) | (s[:-1] > 0)))]
+        tail, s = s[-2:], s.astype(np.int32)
         codes, counts = np.unique((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], return_counts=True)
-        if total is None and a + PIECE >= len(text):
+        if total is None and last:
             return _with_letters(codes, counts)
         total = np.zeros(N_GRAMS, np.int64) if total is None else total
         total[codes] += counts
@@ -129,7 +127,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     counted = rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     found = counted.groupBy("lang").applyInPandas(prototype, "lang string, vector array<float>").collect()
     found.sort(key=lambda r: r.lang)
-    return [r.lang for r in found], np.array([r.vector for r in found], np.float32).reshape(len(found), -1)
+    return [r.lang for r in found], np.array([r.vector for r in found], np.float32).reshape(len(found), DIMENSIONS)
 
 
 def identify(docs: DataFrame) -> DataFrame:

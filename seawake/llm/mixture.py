@@ -112,14 +112,14 @@ def leaf_plans(rows: DataFrame, mix: Mix) -> DataFrame:
     """
     leaves = written(leaf_budgets(rows, mix).filter("budget > 0").select(
         *LEVELS, F.expr("cast(budget div tokens as long)").alias("whole"),
-        F.expr("cast(budget % tokens as long)").alias("rest")), "leaves")
+        F.expr("cast(budget % tokens as long)").alias("rest")).repartition(1), "leaves")  # one file: its size is seen
     buckets = rows.join(leaves.filter("rest > 0"), list(LEVELS)).groupBy(
         *LEVELS, F.substring(_place(mix), 1, BUCKET_DIGITS).alias("cut")).agg(
         F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
     order = Window.partitionBy(*LEVELS).orderBy("cut").rowsBetween(*BEFORE)
     ends = buckets.withColumn("cut_before", F.coalesce(F.sum("n").over(order), F.lit(0)))
     ends = ends.filter("cut_before < rest and rest <= cut_before + n").select(*LEVELS, "cut", "cut_before")
-    return written(leaves.join(ends, list(LEVELS), "left"), "plans")
+    return written(leaves.join(ends, list(LEVELS), "left").repartition(1), "plans")
 
 
 def select_prefixes(rows: DataFrame, mix: Mix) -> DataFrame:

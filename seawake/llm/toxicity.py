@@ -23,8 +23,8 @@ _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else
 @dataclass(frozen=True)
 class Bounds:
     """Bounds of the sample that is fitted on: the labelled rows with the smallest hashes of their ids."""
-    toxic: int = 4000
-    ordinary: int = 8000
+    toxic: int = 2500
+    ordinary: int = 4000
     chars: int = 1 << 15  # of a training text
     ordinary_words: int = 8000
     toxic_words: int = 1000
