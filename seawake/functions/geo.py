@@ -64,7 +64,8 @@ def clamp(value: Column, low: float, high: float) -> Column:
 def compass_sector(heading: Column, sectors: int = 8) -> Column:
     """Index of the compass sector that holds a heading; sector 0 is centred on north."""
     width = 360.0 / sectors
-    return F.floor(F.pmod(heading + width / 2.0, F.lit(360.0)) / width).cast("int")
+    sector = F.floor(F.pmod(heading + width / 2.0, F.lit(360.0)) / width).cast("int")
+    return F.when(F.abs(heading) < F.lit(float("inf")), sector)
 
 
 def register_sql_functions(spark: SparkSession) -> None:

@@ -19,10 +19,16 @@ def back(ts: Column, *, days: int = 0, hours: int = 0, minutes: int = 0) -> Colu
     return ts - F.expr(f"INTERVAL '{days} {hours:02d}:{minutes:02d}:00' DAY TO SECOND")
 
 
-def after(df: DataFrame, cutoff: Column, ts: str = "ts") -> Column:
-    """``ts > cutoff``; where the table has a ``date`` partition column it is filtered too, so old days are not read."""
+def after(cutoff: Column, ts: str = "ts", date: str | None = None) -> Column:
+    """``ts > cutoff``. ``date`` names a partition column that holds to_date(ts); it is filtered too, so old days are
+    not read."""
     newer = F.col(ts) > cutoff
-    return newer & (F.col("date") >= F.to_date(cutoff)) if "date" in df.columns else newer
+    return newer & (F.col(date) >= F.to_date(cutoff)) if date else newer
+
+
+def is_finite(value: Column) -> Column:
+    """False for NaN and both infinities, NULL for NULL."""
+    return F.abs(value) < F.lit(float("inf"))
 
 
 def slot(ts: Column, seconds: int) -> Column:

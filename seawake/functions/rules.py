@@ -42,10 +42,10 @@ def alert_messages(rules: OperatingRules = OPERATING) -> Column:
     """One text per alert rule that holds, 0 to 4 of them."""
     # The texts of the four alerts.
     whole = "bigint"
-    fuel = F.format_string("ALERTE: Carburant bas (%dL)", F.col("carburant_litres").cast(whole))
+    fuel = F.format_string("ALERTE: Carburant bas (%dL)", F.col("carburant_litres").try_cast(whole))
     storm = F.lit("ALERTE: Navire dans une tempête")
     engine = F.concat(F.lit("ALERTE: Moteur en état "), F.col("etat_moteur"))
-    slow = F.format_string("ALERTE: Vitesse anormalement basse (%d nœuds)", F.col("vitesse_noeuds").cast(whole))
+    slow = F.format_string("ALERTE: Vitesse anormalement basse (%d nœuds)", F.col("vitesse_noeuds").try_cast(whole))
     return F.array_compact(F.array(
         F.when(fuel_is_low(rules), fuel),
         F.when(F.col("meteo") == "tempete", storm),

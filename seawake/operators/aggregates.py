@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seawake.functions.moments import micros
+from seawake.functions.moments import is_finite, micros
 from seawake.functions.rules import guarded_ratio, is_anomaly, maintenance_priority, risk_score
 from seawake.schemas import OPERATING, ROUTE, SHIP, TIE, TIME, OperatingRules
 
@@ -225,7 +225,7 @@ def fleet_kpis(df: DataFrame, rules: OperatingRules = OPERATING) -> DataFrame:
 
 def speed_histogram(df: DataFrame, width: float = 2.0) -> DataFrame:
     edge = F.floor(F.col("vitesse_noeuds") / width) * F.lit(width)
-    return df.groupBy(edge.alias("vitesse_min")).agg(F.count("*").alias("nombre"))
+    return df.filter(F.col("vitesse_noeuds").isNull() | is_finite(F.col("vitesse_noeuds"))).groupBy(edge.alias("vitesse_min")).agg(F.count("*").alias("nombre"))
 
 
 def speed_fuel_corr(df: DataFrame) -> DataFrame:
@@ -236,7 +236,8 @@ def traffic_grid(df: DataFrame, cell_degrees: float = 0.5) -> DataFrame:
     """Messages per grid cell: the table behind a density map."""
     row = F.floor(F.col("latitude") / cell_degrees).alias("cellule_lat")
     col = F.floor(F.col("longitude") / cell_degrees).alias("cellule_lon")
-    return df.groupBy(row, col).agg(F.count("*").alias("nombre"))
+    placed = df.filter(~F.isnan("latitude") & ~F.isnan("longitude"))
+    return placed.groupBy(row, col).agg(F.count("*").alias("nombre"))
 
 
 def quantiles(df: DataFrame, value: str, names: dict[str, float], keys: Sequence[str] = (SHIP,),

@@ -61,23 +61,26 @@ def documented_alerts(df: DataFrame, rules: DocumentedRules = DOCUMENTED) -> Dat
     )
 
 
-def recent(df: DataFrame, *, days: int = 0, hours: int = 0, as_of: Column | None = None) -> DataFrame:
-    """Rows newer than ``as_of`` minus the span; ``as_of`` defaults to the newest row."""
+def recent(df: DataFrame, *, days: int = 0, hours: int = 0, as_of: Column | None = None,
+           date: str | None = None) -> DataFrame:
+    """Rows newer than ``as_of`` minus the span; ``as_of`` defaults to the newest row. ``date`` names the partition
+    column of the event's day, if there is one."""
     now = latest_time(df) if as_of is None else as_of
-    return df.filter(after(df, back(now, days=days, hours=hours)))
+    return df.filter(after(back(now, days=days, hours=hours), date=date))
 
 
-def alerts_recent(df: DataFrame, days: int = 1, as_of: Column | None = None) -> DataFrame:
+def alerts_recent(df: DataFrame, days: int = 1, as_of: Column | None = None, date: str | None = None) -> DataFrame:
     """Documented anomalies of the last day with a readable label (unsorted: sort when showing)."""
-    rows = documented_alerts(recent(df, days=days, as_of=as_of))
+    rows = documented_alerts(recent(df, days=days, as_of=as_of, date=date))
     return rows.select(SHIP, F.col(TIME).alias("timestamp"), "anomalie",
                        R.label(F.col("anomalie")).alias("description"))
 
 
-def urgent_maintenance(df: DataFrame, days: int = 1, more_than: int = 5, as_of: Column | None = None) -> DataFrame:
+def urgent_maintenance(df: DataFrame, days: int = 1, more_than: int = 5, as_of: Column | None = None,
+                       date: str | None = None) -> DataFrame:
     """Ships with more than so many documented anomalies in the span (extended telemetry)."""
     return (
-        documented_alerts(recent(df, days=days, as_of=as_of))
+        documented_alerts(recent(df, days=days, as_of=as_of, date=date))
         .groupBy(SHIP)
         .agg(
             F.count("*").alias("anomalies_count"),
@@ -89,10 +92,11 @@ def urgent_maintenance(df: DataFrame, days: int = 1, more_than: int = 5, as_of:
     )
 
 
-def anomaly_distribution(df: DataFrame, days: int = 30, as_of: Column | None = None) -> DataFrame:
+def anomaly_distribution(df: DataFrame, days: int = 30, as_of: Column | None = None,
+                         date: str | None = None) -> DataFrame:
     """Share of each documented anomaly and the ships it touches."""
     counts = (
-        documented_alerts(recent(df, days=days, as_of=as_of))
+        documented_alerts(recent(df, days=days, as_of=as_of, date=date))
         .groupBy("anomalie")
         .agg(F.count("*").alias("occurrences"), F.count_distinct(SHIP).alias("nb_navires_affectes"))
     )

@@ -5,19 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seawake.functions.moments import plus_seconds
+from seawake.functions.moments import is_finite, plus_seconds
 from seawake.functions.rules import lookup
 from seawake.schemas import ETA, SHIP, TIE, TIME, EtaRules
 
+LATEST = 10**11  # seconds, some three thousand years
+
 
 def eta_predictions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Hours and moment of arrival at the present speed; ships that stand or have arrived are left out."""
+    """Hours and moment of arrival at the present speed; ships that stand or have arrived are left out.
+
+    So are rows whose speed or distance is no finite number. An arrival that lies beyond ``LATEST`` seconds has no
+    moment: NULL.
+    """
     hours = F.col("distance_restante_nm") / F.col("vitesse_noeuds")
     return (
         df.filter((F.col("distance_restante_nm") > 0) & (F.col("vitesse_noeuds") > 0))
+        .filter(is_finite(F.col("distance_restante_nm")) & is_finite(F.col("vitesse_noeuds")))
         .select(SHIP, F.col(TIME).alias("timestamp"), *keep, "port_arrivee",
                 "distance_restante_nm", "vitesse_noeuds", hours.alias("eta_heures"),
-                plus_seconds(F.col(TIME), (hours * 3600).cast("bigint")).alias("eta_timestamp"))
+                plus_seconds(F.col(TIME), F.when(hours * 3600 < LATEST, (hours * 3600).cast("bigint"))).alias("eta_timestamp"))
     )
 
 
@@ -50,6 +57,7 @@ def eta_adjusted(df: DataFrame, span: str = "30 minutes", every: str = "5 minute
         .filter(F.col("_n") > 0)
         .withColumn("vitesse_recente", recent)
         .filter((speed > 0) & (F.col("_last.distance") > 0))
+        .filter(is_finite(speed) & is_finite(F.col("_last.distance")))
         .select(
             F.col("window.end").alias("mise_a_jour"), SHIP, "port_arrivee", "vitesse_recente",
             F.col("_last.distance").alias("distance_restante_nm"),

@@ -42,9 +42,13 @@ def latest_with_ties(df: DataFrame, keys: Sequence[str] = (SHIP,), time: str = T
 
 
 def current_positions(df: DataFrame) -> DataFrame:
-    """The documented current-position view; all values come from one row."""
-    temperature = "temperature_moteur_celsius" if "temperature_moteur_celsius" in df.columns \
-        else "temperature_eau_celsius"
+    """The documented current-position view; all values come from one row.
+
+    ``temp_actuelle`` is that of the engine; where the table doesn't have it, it is NULL.
+    """
+    temperature = "temperature_moteur_celsius"
+    if temperature not in df.columns:
+        df = df.withColumn(temperature, F.lit(None).cast("double"))
     wanted = [SHIP, TIME, "latitude", "longitude", "vitesse_noeuds", "carburant_litres", temperature]
     return latest_rows(df, wanted).select(
         SHIP,

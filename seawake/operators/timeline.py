@@ -128,14 +128,14 @@ def trailing_mean(df: DataFrame, value: str, out: str, seconds: int, keys: Seque
 
 
 def since(df: DataFrame, columns: Sequence[str], cutoff: Column, keys: Sequence[str] = (SHIP,),
-          tie: str = TIE) -> DataFrame:
+          tie: str = TIE, date: str | None = None) -> DataFrame:
     """The rows after ``cutoff`` plus each key's last row up to it.
 
     That one older row is all LAG needs, so history is reduced to a row per key
     and only the recent part goes through the ordered computation.
     """
     older = latest_rows(df.filter(F.col(TIME) <= cutoff), columns, keys, tie)
-    return df.filter(after(df, cutoff)).select(*columns).unionByName(older)
+    return df.filter(after(cutoff, date=date)).select(*columns).unionByName(older)
 
 
 def fit_slot(df: DataFrame, rows_per_slot: int = 5_000_000, keys: Sequence[str] = (SHIP,)) -> int:

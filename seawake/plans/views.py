@@ -43,7 +43,7 @@ def register_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     views = {
         **tables,
         "v_current_positions": current_positions(raw),
-        "v_ships_requiring_attention": anomalies.alerts_recent(raw),
+        "v_ships_requiring_attention": anomalies.alerts_recent(raw, date="date"),
         "v_route_efficiency": aggregates.route_efficiency(aggregates.voyages(raw)),
         "v_active_alerts": anomalies.active_alerts(raw),
         "v_maintenance_alerts": reports.maintenance_alerts(tables["maintenance_prediction"]),

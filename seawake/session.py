@@ -48,10 +48,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for ``purpose`` that every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only when
-    that is unset (single-machine tests) a local temporary folder is taken.
+    The cluster names its shared folder in ``spark.checkpoint.dir``. Only on one
+    machine may that be unset; a local temporary folder is then taken.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "seawake")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seawake.operators.anomalies import alert_fanout
+from seawake.functions.moments import is_finite
 from seawake.schemas import SHIP, TELEMETRY_MESSAGE, TIE, TIME
 
 TRACKING_TOPIC = "tracking"
@@ -40,6 +41,8 @@ def parse_messages(messages: DataFrame, schema: T.StructType = TELEMETRY_MESSAGE
         F.when(F.col(CORRUPT).isNotNull() | F.col("message").isNull(), "json")
         .when(F.col(SHIP).isNull() | F.col("timestamp").isNull(), "champ_manquant")
         .when(F.col(TIME).isNull(), "horodatage")
+        .when(F.array_contains(F.array(*[~is_finite(F.col(f.name)) for f in schema.fields
+                                         if isinstance(f.dataType, T.DoubleType)]), True), "nombre")
     )
     return rows.withColumn("rejet", reason).drop(CORRUPT)
 

@@ -86,7 +86,7 @@ def test_recent_rows_prune_partitions(spark, root):
     from seawake.operators import anomalies
 
     raw = tables.read_raw(spark, f"{root}/raw_data")
-    plan = anomalies.recent(raw, days=1)._jdf.queryExecution().executedPlan().toString()
+    plan = anomalies.recent(raw, days=1, date="date")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= cast\(", plan)
     assert anomalies.recent(raw, days=1).count() > 0
 
