@@ -385,7 +385,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
 
 
 def _buckets(sets: DataFrame) -> int:
-    """Buckets of about a million entries, and one for each shuffle partition at least."""
+    """Buckets of about half a million entries, and one for each shuffle partition at least."""
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     least = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, int(total * (100 - SHARE) / 100) // 1_000_000 + 1)
+    return max(least, int(total * (100 - SHARE) / 100) // 500_000 + 1)

@@ -33,7 +33,7 @@ class WordEncoder:
     ``most_words`` bounds the table of known words, which is then begun anew.
     """
 
-    def __init__(self, path: str, most_words: int = 1_500_000):
+    def __init__(self, path: str, most_words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -61,13 +61,13 @@ class WordEncoder:
                 fast.append(i)
         group: list[int] = []
         size = 0
-        for i in fast:  # about a million characters at a time
+        for i in fast:  # about half a million characters at a time
             if len(texts[i]) > 1 << 20:
                 out[i] = np.concatenate([self._encode([part])[0] for part in _cut(texts[i], 1 << 20)])
                 continue
             group.append(i)
             size += len(texts[i])
-            if size >= 1 << 20:
+            if size >= 1 << 19:
                 self._store(out, texts, group)
                 group, size = [], 0
         self._store(out, texts, group)

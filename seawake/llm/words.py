@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20  # bytes of text hashed at once; bounds a task's memory whatever a text's length
+CHUNK = 1 << 20  # bytes of text hashed at once; bounds a task's memory whatever a text's length
 _RANDOM = np.random.default_rng(20240101)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _PLACE = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
