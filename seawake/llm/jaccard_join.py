@@ -316,37 +316,44 @@ def near_copies(entries: DataFrame) -> DataFrame:
 def cross_pairs(entries: DataFrame, groups: DataFrame, small: int) -> DataFrame:
     """All pairs that share tokens, may link by their number and places, and are not yet in one group.
 
-    In each list the largest group is set aside: its sets meet those of other groups, never one another.
+    Tokens with equal lists are taken together: their common list is joined once, with the number of the tokens as a
+    weight. In each list the largest group is set aside: its sets meet those of other groups, never one another.
     """
     entries = entries.join(groups.withColumnRenamed("component", "own"), "id", "left")
     entries = written(entries.withColumn("own", F.coalesce("own", "id")), "entries")
-    mixed = entries.groupBy("token").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).filter("lo < hi")
-    entries = entries.join(mixed.select("token"), "token", "left_semi")
-    largest = entries.groupBy("token", "own").agg(F.count("*").alias("n")).groupBy("token").agg(
-        F.max_by("own", "n").alias("main"))
-    entries = entries.join(largest, "token")
+    lists = entries.groupBy("token", "kind").agg(
+        F.min("own").alias("lo"), F.max("own").alias("hi"), F.expr("bit_xor(xxhash64(id))").alias("list1"),
+        F.expr("bit_xor(xxhash64(id, 1))").alias("list2")).filter("lo < hi").drop("lo", "hi")
+    entries = entries.join(lists, ["token", "kind"])
     spot = f"pmod(xxhash64(token, 1), {64 * WORDS})"
     marks = [F.expr(f"bit_or(if({spot} div 64 = {k}, shiftleft(1L, cast({spot} % 64 as int)), 0L))").alias(f"w{k}")
              for k in range(WORDS)]
     singles = entries.filter(F.col("kind") != PAIR).groupBy("id").agg(F.count("*").alias("live"), *marks)
     singles = singles.withColumn("twice", F.col("live") - sum(F.bit_count(f"w{k}") for k in range(WORDS)))
-    entries = entries.join(singles, "id", "left")
+    alike = ["list1", "list2", "kind"]
+    entries = entries.groupBy(*alike, "id").agg(
+        F.count("*").alias("weight"), F.max("place").alias("place"), F.max("n").alias("n"), F.max("own").alias("own"))
+    entries = written(entries.join(singles, "id", "left"), "lists")
+    largest = entries.groupBy(*alike, "own").agg(F.count("*").alias("sets")).groupBy(*alike).agg(
+        F.max_by("own", "sets").alias("main"))
+    entries = entries.join(largest, alike)
     a, b = entries.filter("own <> main").alias("a"), entries.alias("b")
     once = (F.col("b.own") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))
     subset = F.col("a.kind") == PAIR
     needed = subset | (F.col("a.n") > small) | (F.col("b.n") > small)
     sized = (F.col("a.n") * 100 >= F.col("b.n") * SHARE) & (F.col("b.n") * 100 >= F.col("a.n") * SHARE)
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.own") != F.col("b.own"))
-                 & (F.col("a.kind") == F.col("b.kind")) & once & needed & sized
+    met = a.join(b, (F.col("a.list1") == F.col("b.list1")) & (F.col("a.list2") == F.col("b.list2"))
+                 & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.own") != F.col("b.own")) & once & needed & sized
                  & (subset | _enough(_most_shared(), F.col("a.n"), F.col("b.n"))))
     place = [F.when(~subset, F.col(f"{x}.place")) for x in "ab"]
     first = F.col("a.id") < F.col("b.id")
     met = met.select(*[F.when(first, x).otherwise(y).alias(name) for name, x, y in (
         ("a", F.col("a.id"), F.col("b.id")), ("b", F.col("b.id"), F.col("a.id")), ("n", F.col("a.n"), F.col("b.n")),
-        ("m", F.col("b.n"), F.col("a.n")), ("place_a", *place), ("place_b", *reversed(place)))], subset.cast("int").alias("subset"))
+        ("m", F.col("b.n"), F.col("a.n")), ("place_a", *place), ("place_b", *reversed(place)))],
+        F.when(subset, 0).otherwise(F.col("a.weight")).alias("shared"), F.when(subset, 1).otherwise(0).alias("subset"))
     pairs = met.groupBy("a", "b").agg(
         F.max("n").alias("n"), F.max("m").alias("m"), F.max("place_a").alias("place_a"), F.max("place_b").alias("place_b"),
-        F.sum(1 - F.col("subset")).alias("c"), F.sum("subset").alias("subsets"))
+        F.sum("shared").alias("c"), F.sum("subset").alias("subsets"))
     return pairs.filter(_may_link()).select("a", "b")
 
 
