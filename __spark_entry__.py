@@ -50,12 +50,13 @@ def _ntz(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps}) if stamps else df
 
 
-def _on_stream(build: Callable[[DataFrame], DataFrame], partitions: tuple[str, ...] = ()) -> Query:
+def _on_stream(build: Callable[[DataFrame], DataFrame], partitions: tuple[str, ...] = (),
+               extended: bool = False) -> Query:
     """Runs a streaming query over the whole table to its end and reads its sink."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         session.prepare(spark)
         root = session.shared_dir(spark, "stream")
-        query = io.write_stream(build(io.event_telemetry(spark, sf_dir)), "out", root,
+        query = io.write_stream(build(io.event_telemetry(spark, sf_dir, extended=extended)), "out", root,
                                 partitions=partitions, trigger=io.ONCE,
                                 state_partitions=io.one_store_per_core(spark))
         query.awaitTermination()
@@ -147,7 +148,7 @@ def _telemetry_queries() -> dict[str, Query]:
         "json_ingest": on(_json_ingest),
         "json_roundtrip": on(_json_roundtrip),
         "to_messages": on(_to_messages),
-        "route_by_anomaly": on(lambda t: messages.route_by_anomaly(anom.anomaly_array(t)).select("key", "topic")),
+        "route_by_anomaly": ext(lambda t: messages.route_by_anomaly(anom.anomaly_array(t)).select("key", "topic")),
         "pruned_hourly_scan": _pruned_hourly_scan,
         "table_counts": on(_table_counts),
         # anomalies and alerts
@@ -249,7 +250,7 @@ def _telemetry_queries() -> dict[str, Query]:
             F.get_json_object("value", "$.timestamp").alias("timestamp"))),
         "stream_signal_lost": _on_stream(lambda t: streams.signal_lost(t, HALF_DAY)),
         "stream_window_distance": _on_stream(lambda t: _round(streams.window_distance(t, SIX_HOURS), "distance_nm")),
-        "stream_window_alert_score": _on_stream(lambda t: streams.window_alert_score(t, SIX_HOURS)),
+        "stream_window_alert_score": _on_stream(lambda t: streams.window_alert_score(t, SIX_HOURS), extended=True),
         "stream_eta_adjusted": _on_stream(streams.eta_adjusted),
     }
 

@@ -236,7 +236,7 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
         CAST(NULL AS VARCHAR) AS message, iso AS "timestamp", latitude, longitude, vitesse_noeuds FROM telemetry
         UNION ALL SELECT navire_id, 'alerts', 'alert', message, iso, latitude, longitude, CAST(NULL AS DOUBLE) FROM alerts"""),
     "route_by_anomaly": ([], """SELECT navire_id AS key, CASE WHEN carburant_litres < 20000 OR vitesse_noeuds < 2
-        OR vitesse_noeuds > 25 THEN 'alerts' ELSE 'tracking' END AS topic FROM telemetry"""),
+        OR vitesse_noeuds > 25 OR temperature_moteur_celsius > 85 THEN 'alerts' ELSE 'tracking' END AS topic FROM telemetry"""),
     "pruned_hourly_scan": ([], """SELECT event_id, ts, navire_id, vitesse_noeuds, CAST(ts AS DATE) AS date,
         CAST(hour(ts) AS INTEGER) AS hour FROM telemetry
         WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' AND hour(ts) BETWEEN 6 AND 11"""),
@@ -430,7 +430,7 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
     "stream_alerts": ([ALERTS], """SELECT navire_id AS key, 'alerts' AS topic, message, iso AS "timestamp" FROM alerts"""),
     "stream_signal_lost": ([LINKED], signal_lost("12 hours", "(SELECT max(ts) FROM telemetry) - INTERVAL '10 minutes'")),
     "stream_window_distance": ([with_legs("6 hours")], closed(window_distance())),
-    "stream_window_alert_score": ([DOCUMENTED], closed(ALERT_SCORE.format(where="WHERE anomalie <> 'HIGH_TEMP'"))),
+    "stream_window_alert_score": ([DOCUMENTED], closed(ALERT_SCORE.format(where=""))),
     "stream_eta_adjusted": ([], closed(ETA_ADJUSTED, "mise_a_jour")),
 }
 

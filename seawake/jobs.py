@@ -115,8 +115,9 @@ def main(argv: list[str] | None = None) -> None:
         print("written: " + ", ".join(written) if written else "no raw data")
     elif args.job == "reports":
         for name, df in report_tables(spark, args.root).items():
-            print(f"== {name}")
-            df.show(50, truncate=False)
+            tables.write_analysis(df, f"{args.root}/reports/{name}")
+            print(f"== {name} (all rows are in reports/{name})")
+            spark.read.parquet(f"{args.root}/reports/{name}").show(50, truncate=False)
     elif args.job == "compact":
         tables.compact_day(spark, f"{args.root}/raw_data", args.target, args.day)
     else:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seawake.functions.moments import recency
@@ -34,11 +34,11 @@ def latest_positions(df: DataFrame) -> DataFrame:
 def latest_with_ties(df: DataFrame, keys: Sequence[str] = (SHIP,), time: str = TIME) -> DataFrame:
     """Every row that carries the newest time of its key.
 
-    ``rank() = 1`` is cut down to the leading rows inside each map task before
-    the shuffle (window group limit).
+    The newest times come from a hash aggregate; joining on key and time spreads a busy key over many tasks.
     """
-    order = Window.partitionBy(*keys).orderBy(F.col(time).desc())
-    return df.withColumn("_rank", F.rank().over(order)).filter("_rank = 1").drop("_rank")
+    newest = df.groupBy(*keys).agg(F.max(time).alias(time))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in (*keys, time)]
+    return df.alias("d").join(newest.alias("n"), same, "left_semi")
 
 
 def current_positions(df: DataFrame) -> DataFrame:

@@ -95,38 +95,49 @@ def running_sum(df: DataFrame, value: str, out: str, keys: Sequence[str] = (SHIP
 
 
 def trailing_mean(df: DataFrame, value: str, out: str, seconds: int, keys: Sequence[str] = (SHIP,),
-                  slot_seconds: int | None = None) -> DataFrame:
+                  slot_seconds: int = HOUR) -> DataFrame:
     """AVG over the rows of the last ``seconds`` (current time included), per key.
 
-    The mean is a difference of two running totals, so the cost per row does
-    not depend on how many rows the span holds (a sliding frame would add up
-    its whole content again for every row).
+    The span is cut into whole slots, ``slot_seconds`` long at most. A row's sum has three parts: its own slot up to
+    it, the whole slots before, and the end of the slot in which the span begins. For the last part each row is sent
+    to the slot one span later too. Nothing is subtracted, so a NaN or a huge value counts only as long as it is
+    inside the span; the cost per row does not depend on how many rows the span holds.
     """
-    width = slot_seconds or 4 * seconds
-    if width < seconds:
-        raise ValueError("a slot has to be at least as long as the trailing span")
-    own = slot(F.col(TIME), width)
-    last = slot(F.col(TIME) + F.make_dt_interval(secs=F.lit(seconds)), width)
-    rows = (
-        df.withColumn("_own", own)
-        .withColumn("_slot", F.explode(F.sequence(F.col("_own"), last)))
-        .withColumn("_at", micros(F.col(TIME)))
-    )
-    by_time = Window.partitionBy(*keys, "_slot").orderBy("_at")
-    upto = by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    expired = by_time.rangeBetween(Window.unboundedPreceding, -seconds * 1_000_000 - 1)
-
-    def inside(aggregate) -> Column:
-        return aggregate(value).over(upto) - F.coalesce(aggregate(value).over(expired), F.lit(0))
+    width = next(seconds // n for n in range(1, seconds + 1) if seconds % n == 0 and seconds // n <= slot_seconds)
+    own, at, lag = slot(F.col(TIME), width), micros(F.col(TIME)), seconds // width
+    copies = F.array(*[F.struct(F.lit(late).alias("_late"), (own + n).alias("_slot"),
+                                (at + n * width * 1_000_000).alias("_at")) for late, n in ((False, 0), (True, lag))])
+    rows = df.withColumn("_copy", F.explode(copies)).select(
+        *df.columns, "_copy.*", F.lit(False).alias("_halo"), F.col(value).alias("_part"),
+        F.when(F.col(value).isNotNull(), 1).otherwise(0).alias("_count"))
+    if lag > 1:
+        rows = rows.unionByName(_whole_slots(df, value, keys, width, lag), allowMissingColumns=True)
+    in_slot = Window.partitionBy(*keys, "_slot")
+    upto = in_slot.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    since_then = in_slot.orderBy(F.col("_at").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def inside(part: str) -> Column:
+        head = F.sum(F.when(~F.col("_late"), F.col(part))).over(upto)
+        tail = F.sum(F.when(F.col("_late"), F.col(part))).over(since_then)
+        return F.coalesce(head, F.lit(0)) + F.coalesce(tail, F.lit(0))
 
     return (
-        rows.withColumn("_n", inside(F.count)).withColumn("_sum", inside(F.sum))
-        .filter(F.col("_slot") == F.col("_own"))
-        .withColumn(out, F.try_divide("_sum", "_n"))
-        .drop("_own", "_slot", "_at", "_n", "_sum")
+        rows.withColumn(out, F.try_divide(inside("_part"), inside("_count")))
+        .filter(~F.col("_late") & ~F.col("_halo"))
+        .drop("_late", "_slot", "_at", "_halo", "_part", "_count")
     )
 
 
+def _whole_slots(df: DataFrame, value: str, keys: Sequence[str], width: int, lag: int) -> DataFrame:
+    """One halo row per key and slot: the totals of the slots that a span ending there covers whole."""
+    totals = df.groupBy(*keys, slot(F.col(TIME), width).alias("_slot")).agg(
+        F.sum(value).alias("_part"), F.count(value).alias("_count"))
+    whole = Window.partitionBy(*keys).orderBy("_slot").rangeBetween(1 - lag, -1)
+    return totals.select(
+        *keys, "_slot", F.sum("_part").over(whole).alias("_part"), F.sum("_count").over(whole).alias("_count"),
+        (F.col("_slot") * width * 1_000_000).alias("_at"), F.lit(False).alias("_late"), F.lit(True).alias("_halo"))
+
+
 def since(df: DataFrame, columns: Sequence[str], cutoff: Column, keys: Sequence[str] = (SHIP,),
           tie: str = TIE, date: str | None = None) -> DataFrame:
     """The rows after ``cutoff`` plus each key's last row up to it.

@@ -68,7 +68,9 @@ def window_distance(df: DataFrame, span: int = FIVE_MINUTES) -> DataFrame:
 
 
 def _leg(a: Column, b: Column) -> Column:
-    return geo.distance_nm(a["latitude"], a["longitude"], b["latitude"], b["longitude"])
+    """A leg with an unknown end counts 0, as a missing leg does in a sum."""
+    nm = geo.distance_nm(a["latitude"], a["longitude"], b["latitude"], b["longitude"])
+    return F.coalesce(nm, F.lit(0.0))
 
 
 def _walk(ordered: Column) -> Column:

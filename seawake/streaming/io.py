@@ -39,13 +39,14 @@ def telemetry(messages: DataFrame) -> DataFrame:
     return enrich_time(accepted(parse_messages(messages)))
 
 
-def event_telemetry(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+def event_telemetry(spark: SparkSession, sf_dir: str, max_files: int | None = None,
+                    extended: bool = False) -> DataFrame:
     """The ``events`` table as a telemetry stream; watermarks need TIMESTAMP."""
     reader = spark.readStream.schema(events.EVENTS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     # A glob is accepted whether the table is one file or a folder of files.
-    rows = events.telemetry(reader.parquet(f"{sf_dir}/events.parque[t]"))
+    rows = events.telemetry(reader.parquet(f"{sf_dir}/events.parque[t]"), extended)
     return rows.withColumn(TIME, F.col(TIME).cast("timestamp"))
 
 

@@ -62,3 +62,12 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError):
         session.shared_dir(Session(), "x")
+
+
+@pytest.mark.parametrize("missing", [0, 2, 4])
+def test_window_distance_with_an_unknown_position(spark, missing):
+    rows = rows_of(spark, *({"event_id": i, "ts": T0 + dt.timedelta(seconds=50 * i), "longitude": 5.0 + i / 10,
+                             "latitude": None if i == missing else 43.0} for i in range(5)))
+    batch, stream = (sorted((r.window_start, r.nombre_positions, round(r.distance_nm, 9)) for r in f(rows, 3600).collect())
+                     for f in (windows.window_distance, windows.window_distance_by_pieces))
+    assert batch == stream

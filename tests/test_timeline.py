@@ -1,6 +1,7 @@
 """Slotted ordered computations against brute force, with a ship that holds a third of all rows."""
 
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -48,7 +49,7 @@ def test_running_sum(skewed, slot):
     assert same(timeline.running_sum(rows, "consommation_horaire_litres", "total", slot_seconds=slot), expected)
 
 
-@pytest.mark.parametrize("seconds,slot", [(1800, None), (1800, 1800), (7200, 9000), (86400, None)])
+@pytest.mark.parametrize("seconds,slot", [(1800, 3600), (1800, 7), (7200, 9000), (86400, 3600), (3600, 60), (97, 60)])
 def test_trailing_mean(skewed, seconds, slot):
     rows = skewed.select("navire_id", "event_id", "ts", "vitesse_noeuds")
     span = Window.partitionBy("navire_id").orderBy(F.unix_seconds(F.col("ts").cast("timestamp"))).rangeBetween(-seconds, 0)
@@ -56,9 +57,23 @@ def test_trailing_mean(skewed, seconds, slot):
     assert same(timeline.trailing_mean(rows, "vitesse_noeuds", "mean", seconds, slot_seconds=slot), expected)
 
 
-def test_trailing_mean_refuses_short_slots(skewed):
-    with pytest.raises(ValueError):
-        timeline.trailing_mean(skewed, "vitesse_noeuds", "mean", 3600, slot_seconds=60)
+@pytest.mark.parametrize("slot", [60, 600, 3600])
+def test_trailing_mean_forgets_what_has_left_the_span(spark, slot):
+    values = [0.1, float("nan"), 0.2, 1e16, 0.3, None, 0.7] + [0.1 * (i % 7) for i in range(60)]
+    rows = rows_of(spark, *({"event_id": i, "ts": T0 + dt.timedelta(minutes=7 * i), "vitesse_noeuds": v}
+                            for i, v in enumerate(values)))
+    rows = rows.select("navire_id", "event_id", "ts", "vitesse_noeuds")
+    span = Window.partitionBy("navire_id").orderBy(F.unix_seconds(F.col("ts").cast("timestamp"))).rangeBetween(-1800, 0)
+    got = timeline.trailing_mean(rows, "vitesse_noeuds", "mean", 1800, slot_seconds=slot)
+    both = got.withColumn("plain", F.avg("vitesse_noeuds").over(span)).collect()
+    assert len(both) == len(values)
+    for r in both:
+        assert r.mean == r.plain or math.isnan(r.mean) and math.isnan(r.plain) or math.isclose(r.mean, r.plain, rel_tol=1e-12)
+
+
+def test_latest_rows_keep_ties(spark):
+    rows = rows_of(spark, {"event_id": 1}, {"event_id": 2}, {"event_id": 3, "ts": T0 - dt.timedelta(hours=1)})
+    assert {r.event_id for r in latest.latest_with_ties(rows).collect()} == {1, 2}
 
 
 def test_since_keeps_one_older_row(skewed):
