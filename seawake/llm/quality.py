@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
+#: Units of the n-grams: whole runs of letters and digits (all beyond ASCII count as such), and whole runs of symbols.
+#: White space aside, every character of a text is in one, so junk is seen at any place of a word.
+UNIT = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x08\x0E-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_WORDS, REPEAT_WINDOW, MOST_REPEATED = 20, 8, 30
 SCREEN = 4
-#: A word's last characters are the unit of the n-grams: endings tell prose from junk and are few enough to count.
-ENDING = 3
 
 
 @dataclass(frozen=True)
@@ -80,14 +81,18 @@ def base_counts(text: Column, words: Column) -> list[Column]:
         repeated.cast("long").alias("n_repeat_words")]
 
 
-def gram_buckets(words: Column, buckets: int) -> Column:
-    """Buckets of the words' endings, and of the pairs of neighbouring ones."""
+def split_units(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))
+
+
+def gram_buckets(units: Column, buckets: int) -> Column:
+    """Buckets of the whole units, and of the pairs of neighbouring ones."""
     def hashed(u: Column) -> Column:
         pairs = F.when(F.size(u) > 1, F.transform(F.sequence(F.lit(1), F.size(u) - 1),
                                                   lambda i: F.pmod(F.xxhash64(u[i - 1], u[i]), F.lit(buckets)).cast("int")))
         return F.concat(F.transform(u, lambda h: F.pmod(h, F.lit(buckets)).cast("int")),
                         F.coalesce(pairs, F.array().cast("array<int>")))
-    return let(F.transform(words, lambda w: F.xxhash64(F.substring(w, -ENDING, ENDING))), hashed)
+    return let(F.transform(units, lambda w: F.xxhash64(w)), hashed)
 
 
 def _text() -> Column:
@@ -106,8 +111,8 @@ def ratios(docs: DataFrame, labels: DataFrame, settings: Settings) -> str:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(good.select("doc_id", F.lit(True).alias("trusted"))), "doc_id", "left")  # trusted_rows ids at most
     offset = F.when(F.col("trusted"), F.lit(settings.buckets)).otherwise(F.lit(0))
-    grams = rows.select(offset.alias("offset"), F.explode(let(split_words(_text()), lambda w: gram_buckets(
-        w, settings.buckets))).alias("bucket")).select((F.col("offset") + F.col("bucket")).alias("cell"))
+    grams = rows.select(offset.alias("offset"), F.explode(gram_buckets(
+        split_units(_text()), settings.buckets)).alias("bucket")).select((F.col("offset") + F.col("bucket")).alias("cell"))
     counts = {r.cell: r.n for r in grams.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     trusted = [counts.get(settings.buckets + b, 0) for b in range(settings.buckets)]
     raw = [counts.get(b, 0) + trusted[b] for b in range(settings.buckets)]
@@ -128,11 +133,12 @@ def quality(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
     """
     weights = F.split(F.lit(ratios(docs, labels, settings)), ",").cast("array<double>")
 
-    def ratio(words: Column) -> Column:
-        return let(gram_buckets(words, settings.buckets), lambda g: F.when(F.size(g) > 0, F.aggregate(
+    def ratio(units: Column) -> Column:
+        return let(gram_buckets(units, settings.buckets), lambda g: F.when(F.size(g) > 0, F.aggregate(
             g, F.lit(0.0), lambda acc, b: acc + weights[b]) / F.size(g)).otherwise(F.lit(0.0)))
 
-    counts = let(split_words(_text()), lambda w: F.struct(*base_counts(_text(), w), ratio(w).alias("ratio")))
+    counts = let(split_words(_text()), lambda w: F.struct(
+        *base_counts(_text(), w), ratio(split_units(_text())).alias("ratio")))
     return docs.select("*", let(counts, _verdict).alias("quality_rules"))
 
 

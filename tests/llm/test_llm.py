@@ -125,6 +125,21 @@ def test_quality_ratio_rejects_junk(spark):
     assert all(got[i].kept for i in good if not got[i].base_failed)
 
 
+@pytest.mark.parametrize("junk", [
+    lambda w, i: "$#%&"[i % 4] * 3 + w, lambda w, i: w[:1] + "$#%&"[i % 4] * 3 + w[1:],
+    lambda w, i: ("cheapsing", "casination", "slotted", "bonusthe", "viagrand", "winning")[zlib.crc32(w.encode()) % 6]])
+def test_quality_ratio_sees_whole_words(spark, docs, texts, junk):
+    """Junk in front of or inside words, or stuffed keywords, with the endings of good prose."""
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    sound = {r.doc_id for r in registry.QUERIES["op2_quality"](spark, SMALL).filter("kept").collect()}
+    good = [r.doc_id for r in labels.filter("quality = 1").collect() if r.doc_id in sound][:20]
+    made = [(10**6 + i, " ".join(junk(w, k) for k, w in enumerate(texts[i].split()))) for i in good]
+    table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(made, "doc_id long, text string"))
+    got = {r.doc_id: r for r in quality.report(table, labels).collect()}
+    least = quality.Settings().least_ratio
+    assert all(got[i].kept for i in good) and all(got[i].ratio < least for i, _ in made)
+
+
 def test_quality_without_trusted_rows(spark, docs, labels):
     got = quality.report(docs, labels.limit(0)).collect()
     assert all(r.ratio == 0 and r.kept != r.base_failed for r in got)
