@@ -10,7 +10,7 @@ from seawake.llm.common import written
 SITES = 5  # a line found on so many sites is boilerplate
 SKETCH_BITS = 8  # 256 registers: a standard error of 6.5 %
 DOUBT = 0.3  # estimates so far from SITES, in its parts, are counted exactly
-LEAST_CHARS = 8
+LEAST_CHARS = 8  # of the registered query and its SQL, which leave shorter lines alone
 
 
 def line_key(line: Column) -> list[Column]:
@@ -36,11 +36,11 @@ def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
     return sure.unionByName(exact)
 
 
-def remove_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, sites: int = SITES, least_chars: int = 1) -> DataFrame:
     """doc_id, n_lines, n_removed and the text without the lines that stand on ``sites`` or more distinct sites.
 
-    A line is what stands between line feeds, white space at its ends aside; lines of fewer than ``LEAST_CHARS``
-    characters are never boilerplate. The site is the document's source; a null source is a site of its own.
+    A line is what stands between line feeds, white space at its ends aside; every line that is not empty counts, or
+    those of at least ``least_chars`` characters. The site is the document's source; a null source is a site of its own.
 
     A null text: no lines and a null text. Null doc_ids and repeated rows are kept, a row each. Other columns are
     ignored. An empty table gives an empty result.
@@ -50,7 +50,7 @@ def remove_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     key = [F.coalesce("doc_id", F.lit(-1)).alias("k1"), F.xxhash64("text").alias("k2")]
     split = rows.select(*key, "site", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     split = split.withColumn("line", F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
-    lines = split.filter(F.length("line") >= LEAST_CHARS).select("k1", "k2", "place", "site", *line_key(F.col("line")))
+    lines = split.filter(F.length("line") >= max(least_chars, 1)).select("k1", "k2", "place", "site", *line_key(F.col("line")))
     lines = written(lines, "lines")
     hit = lines.join(boilerplate(lines, sites), ["h1", "h2"], "left_semi")
     removed = hit.groupBy("k1", "k2").agg(F.collect_set("place").alias("removed"))

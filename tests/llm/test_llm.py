@@ -301,6 +301,14 @@ def test_line_dedup_awkward(spark, awkward):
     assert collections.Counter((r.doc_id, r.text) for r in got) == collections.Counter((r[0], r[1]) for r in AWKWARD)
 
 
+def test_line_dedup_short_lines(spark):
+    rows = [(i, f"own line {i} here\nLes.\n\n x", f"s{i % 5}" if i else "s0") for i in range(6)]
+    got = line_dedup.remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {(r.n_removed, r.text) for r in got} == {(2, f"own line {i} here\n") for i in range(6)}
+    few = line_dedup.remove_boilerplate(spark.createDataFrame(rows[:4], "doc_id long, text string, source string"))
+    assert {r.n_removed for r in few.collect()} == {0}
+
+
 def test_toxicity(spark):
     known = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     got = registry.QUERIES["op10_toxicity"](spark, "/root/testdata/sf0.01").collect()
