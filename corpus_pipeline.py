@@ -34,11 +34,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
+    """Documents without a benchmark window. Each row counts by its own text, also where a doc_id is null or repeated."""
     prepare(spark)
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    clean = found.filter("n_hit = 0").select("doc_id").distinct()
-    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
+    clean = found.filter("n_hit = 0").select("doc_id", "row").distinct()
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (decontaminate.row_digest(F.col("d.text")) == F.col("c.row"))
     return docs.select(*COLUMNS).alias("d").join(clean.alias("c"), same, "left_semi")
 
 

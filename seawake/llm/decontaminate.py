@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seawake.llm.common import map_batches, texts
@@ -17,7 +17,7 @@ from seawake.llm.words import ALNUM, hashed_windows, hashed_words
 WINDOW, SHINGLE = 10, 3
 BLOCK_BYTES = 16 << 20  # of benchmark text whose windows are searched for at once
 FOUND = "doc_id long, row binary, n_words long, spans array<long>, items array<string>"
-RESULT = "doc_id long, n_words long, n_hit long, spans array<long>, items array<string>"
+RESULT = "doc_id long, row binary, n_words long, n_hit long, spans array<long>, items array<string>"
 
 
 @dataclass(frozen=True)
@@ -138,6 +138,11 @@ def occurrences(words: np.ndarray, offsets: np.ndarray, search: Prefixes) -> tup
     return begin[same], window[same]
 
 
+def row_digest(text: Column) -> Column:
+    """Tells rows that share a doc_id apart by their text."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
 def scan(docs: DataFrame, searches: list[Prefixes]) -> DataFrame:
     """Hit spans (pairs of first word and word after the last, merged) and items of every document for one block."""
     def rows(batch: pa.RecordBatch):
@@ -166,7 +171,7 @@ def scan(docs: DataFrame, searches: list[Prefixes]) -> DataFrame:
             [batch.column(0), batch.column(2), pa.array(n_words), pa.array(spans, pa.list_(pa.int64())),
              pa.array(items, pa.list_(pa.string()))], ["doc_id", "row", "n_words", "spans", "items"])
 
-    keyed = docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("row"))
+    keyed = docs.select("doc_id", "text", row_digest(F.col("text")).alias("row"))
     return map_batches(keyed, rows, FOUND)
 
 
@@ -188,7 +193,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, blo
     room before and behind it and compared word by word. The benchmark is the query set: it is sent to the tasks in
     blocks of ``block_bytes`` of text, and documents stay where they are.
 
-    Returns doc_id, n_words, n_hit, spans (first word and word after the last of each hit stretch, in turn) and items
+    Returns doc_id, row (a digest of the text), n_words, n_hit, spans (first word and word after the last of each hit stretch, in turn) and items
     (ids as sorted strings). Null and empty texts: no words. Null doc_ids are kept, repeated rows give a row each.
     Items without id, text or words match nothing; items that share an id count once. Other columns are ignored.
     """
@@ -211,8 +216,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, blo
         merged = [_merged(x) for x in batch.column(3).to_pylist()]
         n_hit = [sum(x[1::2]) - sum(x[::2]) for x in merged]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(n_hit, pa.int64()), pa.array(merged, pa.list_(pa.int64())),
-             batch.column(4)], _names(RESULT))
+            [batch.column(0), batch.column(1), batch.column(2), pa.array(n_hit, pa.int64()),
+             pa.array(merged, pa.list_(pa.int64())), batch.column(4)], _names(RESULT))
 
     return map_batches(found, finish, RESULT)
 

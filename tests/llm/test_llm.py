@@ -291,6 +291,15 @@ def test_decontamination(spark, docs, texts, awkward, bench, block_bytes):
         assert collections.Counter(tuple(r) for r in got) == collections.Counter((i, *brute_hits(t, items)) for i, t in given)
 
 
+def test_decontamination_stage_by_row(spark):
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    rows = [(i, t, "en", "src0", len(t or "")) for i in (None, 1) for t in (BASE, item, BASE, None, "")] + [(2, item, None, None, 0)]
+    got = corpus_pipeline.decontamination(spark, spark.createDataFrame(rows, SCHEMA), SMALL)
+    assert got.columns == list(corpus_pipeline.COLUMNS)
+    assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == collections.Counter(
+        (i, t) for i in (None, 1) for t in (BASE, BASE, None, ""))
+
+
 def test_line_dedup_awkward(spark, awkward):
     rows = [(i, f"shared line of text\nown line {i} here\n\n shared line of text ", f"s{i % 5}") for i in range(10)]
     got = line_dedup.remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
