@@ -59,14 +59,16 @@ def alert_messages(rules: OperatingRules = OPERATING) -> Column:
 def documented_anomalies(columns: list[str], rules: DocumentedRules = DOCUMENTED) -> Column:
     """Array of the documented anomaly codes that hold on a row.
 
-    The engine temperature is an optional field; without it HIGH_TEMP is left out.
+    The engine temperature is an optional field; where it is absent it is NULL, and HIGH_TEMP does not hold.
     """
     speed = F.col("vitesse_noeuds")
-    checks = [F.when(F.col("carburant_litres") < rules.fuel_low, "LOW_FUEL")]
-    if "temperature_moteur_celsius" in columns:
-        checks.append(F.when(F.col("temperature_moteur_celsius") > rules.engine_temp_high, "HIGH_TEMP"))
-    checks.append(F.when((speed < rules.speed_low) | (speed > rules.speed_high), "ABNORMAL_SPEED"))
-    return F.array_compact(F.array(*checks))
+    name = "temperature_moteur_celsius"
+    temperature = F.col(name) if name in columns else F.lit(None).cast("double")
+    return F.array_compact(F.array(
+        F.when(F.col("carburant_litres") < rules.fuel_low, "LOW_FUEL"),
+        F.when(temperature > rules.engine_temp_high, "HIGH_TEMP"),
+        F.when((speed < rules.speed_low) | (speed > rules.speed_high), "ABNORMAL_SPEED"),
+    ))
 
 
 def _lookup(values: dict, key: Column, default=None) -> Column:

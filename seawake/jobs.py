@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seawake import session
 from seawake.operators import aggregates, anomalies
 from seawake.plans import reports, views
-from seawake.schemas import TIE
+from seawake.schemas import EXTENDED_MESSAGE, TIE
 from seawake.sources import messages, tables
 from seawake.streaming import io, queries
 
@@ -85,7 +85,8 @@ def run_streaming(spark: SparkSession, source: DataFrame, root: str, *, slow: st
         io.write_stream(queries.window_stats(rows), "aggregated", root, trigger=slow),
         io.write_stream(queries.detected_anomalies(rows), "anomalies", root, trigger=fast),
         io.write_stream(queries.eta_predictions(rows), "eta_predictions", root, trigger=slow),
-        io.write_stream(messages.rejected(messages.parse_messages(source)), "rejects", root, trigger=slow),
+        io.write_stream(messages.rejected(messages.parse_messages(source, EXTENDED_MESSAGE)), "rejects", root,
+                        trigger=slow),
     ]
     if console:
         started.append(io.write_stream(rows, "console_output", root, kind="console", trigger=fast))

@@ -37,10 +37,13 @@ EXTENDED_FIELDS = T.StructType([
     T.StructField("temperature_moteur_celsius", T.DoubleType()),
 ])
 
-# The stored raw archive: the message plus what ingest adds.
+# What the jobs read: optional fields are NULL in a message without them.
+EXTENDED_MESSAGE = T.StructType([*TELEMETRY_MESSAGE.fields, *EXTENDED_FIELDS.fields])
+
+# The stored raw archive: the extended message plus what ingest adds. Files from before the optional fields read as NULL.
 RAW_ARCHIVE = T.StructType(
     [T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType())]
-    + [f for f in TELEMETRY_MESSAGE.fields if f.name != "timestamp"]
+    + [f for f in EXTENDED_MESSAGE.fields if f.name != "timestamp"]
     + [T.StructField("date", T.DateType()), T.StructField("hour", T.IntegerType())]
 )
 

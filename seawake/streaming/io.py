@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from seawake.schemas import TIME
+from seawake.schemas import EXTENDED_MESSAGE, TIME
 from seawake.sources import events
 from seawake.sources.messages import TRACKING_TOPIC, accepted, enrich_time, parse_messages
 
@@ -36,7 +36,7 @@ def message_source(spark: SparkSession, kind: str = "kafka", *, brokers: str = "
 
 def telemetry(messages: DataFrame) -> DataFrame:
     """Usable messages as telemetry rows with their time columns."""
-    return enrich_time(accepted(parse_messages(messages)))
+    return enrich_time(accepted(parse_messages(messages, EXTENDED_MESSAGE)))
 
 
 def event_telemetry(spark: SparkSession, sf_dir: str, max_files: int | None = None,

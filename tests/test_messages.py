@@ -66,3 +66,20 @@ def test_documented_routing(spark):
 def test_same_message_same_id(spark):
     a, b = parsed(spark, json.dumps(GOOD)), parsed(spark, json.dumps(GOOD), "x")
     assert a.first().event_id == b.filter(F.col("rejet").isNull()).first().event_id
+
+
+def test_engine_temperature_reaches_the_archive(spark, tmp_path):
+    from seawake.operators import aggregates
+    from seawake.schemas import EXTENDED_MESSAGE
+    from seawake.sources import tables
+    from seawake.streaming import io
+
+    sent = rows_of(spark, {}, {"navire_id": "SHIP_002"}).withColumns({
+        "rpm_moteur": F.lit(900), "poids_cargo_tonnes": F.lit(1),
+        "temperature_moteur_celsius": F.when(F.col("event_id") == 0, 90.0)})
+    rows = io.telemetry(sent.select(messages.encode(sent, EXTENDED_MESSAGE).alias("value")))
+    tables.write_partitioned(rows.select(*tables.RAW_ARCHIVE.fieldNames()), str(tmp_path))
+    raw = tables.read_raw(spark, str(tmp_path))
+    assert [(r.navire_id, r.anomalie) for r in anomalies.active_alerts(raw).collect()] == [("SHIP_001", "HIGH_TEMP")]
+    assert anomalies.alerts_recent(raw, date="date").count() == 1 and aggregates.fleet_stats(raw).count() > 0
+    assert [r.temp_max_recente for r in anomalies.urgent_maintenance(raw, more_than=0).collect()] == [90.0]
