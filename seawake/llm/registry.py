@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from seawake import session
 from seawake.llm import (
-    decontaminate, jaccard_join, language, line_dedup, mixture, quality, secrets, token_counts, token_files, toxicity)
+    alignment, byte_bpe, decontaminate, jaccard_join, language, line_dedup, mixture, quality, secrets, token_counts,
+    token_files, toxicity, whitening)
 from seawake.llm.common import table
 
-WORD_TOKENIZER, PIECE_TOKENIZER = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORD_TOKENIZER, PIECE_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 MIX = mixture.Mix(
     domains={"0": "web", "1": "web", "2": "web", "3": "web", "4": "web", "5": "books", "6": "books", "7": "books",
@@ -66,10 +68,26 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark, sf_dir):
+    found = alignment.aligned(table(spark, sf_dir, "documents"), tokenizer(BYTE_TOKENIZER), tokenizer(PIECE_TOKENIZER))
+    return alignment.with_counts(alignment.digests(found))
+
+
+def op12_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    ranks, pattern = tokenizer(BYTE_RANKS), public_tokenizers.PATTERN
+    ids = byte_bpe.encoded(table(spark, sf_dir, "documents"), ranks, pattern)
+    return byte_bpe.digests(byte_bpe.decoded(ids, ranks, pattern))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixture, op2_quality, op3_language, op4_jaccard_join, op5_token_counts, op6_token_files, op7_secrets, op8_decontaminate,
-    op9_line_dedup, op10_toxicity)}
-
+    op9_line_dedup, op10_toxicity, op11_alignment, op12_byte_bpe, op13_whitening)}
 
 
 def _levels() -> str:
