@@ -8,7 +8,8 @@ placed by their decoded bytes, counted from the last end that is known. Where to
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +18,12 @@ from pyspark.sql import functions as F
 
 from seawake.llm.byte_bpe import unmapped
 from seawake.llm.common import map_batches, texts, written
-from seawake.llm.token_counts import split_safely
 
 SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
           "links array<struct<a:int,b:int,times:long>>")
-PART_CHARS, BATCH_CHARS = 1 << 15, 1 << 19
+PART_CHARS, BATCH_CHARS = 1 << 13, 1 << 19  # characters encoded as one text, and held at once unless one text is longer
 LARGE_GROUP = 1 << 16  # links of a group beyond which its ids are counted before they are paired
+REMEMBERED, LONGEST_KEPT = 1 << 17, 60  # stretches of text whose alignment a worker keeps, and their characters
 FREQUENT = 1 << 18  # id pairs whose counts are sent to all tasks; the others are joined
 SPACE = "▁"
 
@@ -109,8 +110,9 @@ def _character_begins(data: bytes) -> np.ndarray:
     return np.append(np.flatnonzero((at & 0xC0) != 0x80), len(data))
 
 
-def _linked(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, times) of the links of groups that begin at ``cut_a`` and ``cut_b``; pairs may come more than once."""
+def _linked(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, size_b: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, times) of the links of groups that begin at ``cut_a`` and ``cut_b``, group by group; a pair, which is
+    a * ``size_b`` + b, may come more than once. Large groups come last, their ids counted first."""
     n_a, n_b = np.diff(cut_a), np.diff(cut_b)
     large = np.flatnonzero(n_a * n_b > LARGE_GROUP)
     some = np.ones(len(n_a), bool)
@@ -120,107 +122,149 @@ def _linked(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray)
     times = n_b[group[left]]
     first = cut_b[:-1][group[left]]
     within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    parts = [(np.repeat(a[left], times), b[np.repeat(first, times) + within], np.ones(len(within), np.int64))]
+    parts = [(np.repeat(a[left] * size_b, times) + b[np.repeat(first, times) + within], np.ones(len(within), np.int64))]
     for g in large:
         ids_a, count_a = np.unique(a[cut_a[g]:cut_a[g + 1]], return_counts=True)
         ids_b, count_b = np.unique(b[cut_b[g]:cut_b[g + 1]], return_counts=True)
-        parts.append((np.repeat(ids_a, len(ids_b)), np.tile(ids_b, len(ids_a)), np.outer(count_a, count_b).ravel()))
+        parts.append(((ids_a[:, None] * size_b + ids_b).ravel(), np.outer(count_a, count_b).ravel()))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-class _Aligned:
-    """What the parts of one document add up to."""
+#: A single space between two letters or digits: tokens of both sides end before it, and what follows is encoded as if
+#: it stood alone. (The space comes first, so that the search can look for it.)
+SAFE = re.compile(r" (?<=[^\W_] )(?=[^\W_])")
+NOTHING = ("", b"", 0, 0, 0, 0, False)
 
-    def __init__(self):
-        self.whole, self.numbers, self.groups, self.links = True, np.zeros(4, np.int64), [], []
 
-    def add(self, a: Tokens | None, b: Tokens | None, names_a: list[str], names_b: list[str]) -> None:
-        if a is None or b is None:
-            self.whole = False
-        if not self.whole:
-            return
-        both = np.intersect1d(a.ends, b.ends)
+class Aligner:
+    """Aligns texts stretch by stretch; a worker keeps the alignments of stretches it has met.
+
+    A text is cut at every safe boundary, mostly into words. New stretches are encoded together, joined by the spaces
+    that such boundaries are, so that a batch costs a few calls of either library. An alignment is (groups, links in
+    bytes, numbers of A tokens, B tokens, groups and links, whether the tokens spell the text).
+    """
+
+    def __init__(self, byte_level: str, pieces: str):
+        self.left, self.right = ByteLevel(byte_level), Pieces(pieces)
+        self.known: dict[str, tuple] = {}
+
+    def learn(self, stretches: Iterable[str]) -> None:
+        joined, length, parts = [], 0, []
+        for x in stretches:
+            if len(x) <= LONGEST_KEPT and x[0].isalnum() and x[-1].isalnum():
+                joined.append(x)
+                length += len(x) + 1
+                if length >= PART_CHARS:
+                    parts.append(joined)
+                    joined, length = [], 0
+            else:
+                parts.append([x])
+        self._align([*parts, joined] if joined else parts)
+
+    def _align(self, parts: list[list[str]]) -> None:
+        alone = []
+        text = [" ".join(p) for p in parts]
+        data = [b" " + x.encode() for x in text]
+        for part, a, b in zip(parts, self.left.encode(text, data), self.right.encode(text, data), strict=True):
+            if a is not None and b is not None:
+                self._keep(part, a, b)
+            elif len(part) == 1:
+                self.known[part[0]] = NOTHING
+            else:
+                alone += [[x] for x in part]
+        if alone:
+            self._align(alone)
+
+    def _keep(self, part: list[str], a: Tokens, b: Tokens) -> None:
+        both = np.intersect1d(a.ends, b.ends, assume_unique=True)
         cut_a = np.concatenate(([0], np.searchsorted(a.ends, both, "right")))
         cut_b = np.concatenate(([0], np.searchsorted(b.ends, both, "right")))
-        self.numbers += (len(a.ids), len(b.ids), len(both), int((np.diff(cut_a) * np.diff(cut_b)).sum()))
+        upto = np.concatenate(([0], np.cumsum(np.diff(cut_a) * np.diff(cut_b))))
+        names_a, names_b = self.left.names, self.right.names
         text_a, text_b = [names_a[i] for i in a.ids.tolist()], [names_b[i] for i in b.ids.tolist()]
-        cut_at_a, cut_at_b = cut_a.tolist(), cut_b.tolist()
-        self.groups += [
+        at_a, at_b = cut_a.tolist(), cut_b.tolist()
+        groups = [
             (text_a[i] if j - i == 1 else ",".join(text_a[i:j])) + "|" + (text_b[k] if m - k == 1 else ",".join(text_b[k:m]))
-            for i, j, k, m in zip(cut_at_a, cut_at_a[1:], cut_at_b, cut_at_b[1:])]
-        self.links.append(_linked(a.ids, b.ids, cut_a, cut_b))
-
-    def pairs(self, size_b: int) -> tuple[np.ndarray, np.ndarray]:
-        """(a * size_b + b, times), each pair once."""
-        if not self.whole or not self.links:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        a, b, times = (np.concatenate(x) for x in zip(*self.links))
-        pair, at = np.unique(a * size_b + b, return_inverse=True)
-        out = np.zeros(len(pair), np.int64)
-        np.add.at(out, at, times)
-        return pair, out
-
-
-_LOADED: dict = {}
-
-
-def _both(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces]:
-    """One pair of models per worker process."""
-    if (a_path, b_path) not in _LOADED:
-        _LOADED[a_path, b_path] = ByteLevel(a_path), Pieces(b_path)
-    return _LOADED[a_path, b_path]
+            for i, j, k, m in zip(at_a, at_a[1:], at_b, at_b[1:])]
+        links = np.stack(_linked(a.ids, b.ids, cut_a, cut_b, len(names_b)), axis=1).tobytes()
+        if len(part) == 1:
+            self.known[part[0]] = (";".join(groups), links, len(a.ids), len(b.ids), len(both), int(upto[-1]), True)
+            return
+        # Small stretches have no large groups, so their links lie in the order of the groups.
+        end = np.cumsum([len(x.encode()) + 1 for x in part])
+        group = np.searchsorted(both, end, "right")
+        edges = [np.concatenate(([0], x)).tolist() for x in (group, cut_a[group], cut_b[group], upto[group])]
+        for x, g, h, i, j, k, m, low, high in zip(part, *(y for e in edges for y in (e, e[1:]))):
+            self.known[x] = (";".join(groups[g:h]), links[16 * low:16 * high], j - i, m - k, h - g, high - low, True)
+
+    def document(self, stretches: list[str]) -> tuple[np.ndarray, str, np.ndarray, np.ndarray]:
+        """Numbers, groups and links (pair, times; each pair once) of a text whose stretches are known."""
+        if stretches:
+            groups, links, *numbers, whole = zip(*map(self.known.__getitem__, stretches))
+            if all(whole):
+                link = np.frombuffer(b"".join(links), np.int64).reshape(-1, 2)
+                pair, at = np.unique(link[:, 0], return_inverse=True)
+                times = np.bincount(at, weights=link[:, 1]).astype(np.int64)
+                return np.array([sum(x) for x in numbers]), ";".join(groups), pair, times
+        return np.zeros(4, np.int64), "", np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def documents(self, batch: list[list[str]]) -> list[tuple]:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = set().union(*batch).difference(self.known)
+        self.learn(new)
+        out = [self.document(x) for x in batch]
+        for x in new:
+            if len(x) > LONGEST_KEPT:
+                del self.known[x]
+        return out
+
+
+_LOADED: dict[tuple[str, str], Aligner] = {}
+
+
+def _aligner(byte_level: str, pieces: str) -> Aligner:
+    """One aligner per worker process."""
+    if (byte_level, pieces) not in _LOADED:
+        _LOADED[byte_level, pieces] = Aligner(byte_level, pieces)
+    return _LOADED[byte_level, pieces]
 
 
 def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     """The alignment of every whole text: A is the byte-level tokenizer on a space and the text, B the sentencepiece model.
 
     Returns doc_id, the numbers of tokens, groups and links, ``groups`` (``a1,a2|b1;a3|b2,b3``: ids in order) and
-    ``links`` (each linked pair of ids once, with its number of links in the document). Long texts are cut at single
-    spaces between letters or digits, where tokens of both sides end; parts are encoded in batches. No rows are moved.
+    ``links`` (each linked pair of ids once, with its number of links in the document). No rows are moved.
 
     Texts that are null or empty, or whose tokens on either side spell other bytes than the text's (normalisation, a
     ``▁`` in the text), have zeros, an empty ``groups`` and no links. A null doc_id is kept. Repeated rows give a row
     each. Other columns are ignored. An empty table gives an empty result. Special strings are ordinary text.
     """
     def rows(batch: pa.RecordBatch):
-        left, right = _both(byte_level, pieces)
-        found = [_Aligned() for _ in range(batch.num_rows)]
-        parts: list[str] = []
-        owners: list[int] = []
+        aligner = _aligner(byte_level, pieces)
+        found: list[tuple] = []
+        waiting: list[list[str]] = []
         size = 0
-
-        def flush():
-            nonlocal size
-            data = [b" " + x.encode() for x in parts]
-            for row, a, b in zip(owners, left.encode(parts, data), right.encode(parts, data), strict=True):
-                found[row].add(a, b, left.names, right.names)
-            parts.clear()
-            owners.clear()
-            size = 0
-
-        for row, text in enumerate(batch.column(1).to_pylist()):
-            for part in split_safely(text, PART_CHARS) if text else ():
-                parts.append(part)
-                owners.append(row)
-                size += len(part)
-                if size >= BATCH_CHARS:
-                    flush()
-        if parts:
-            flush()
-        yield from _batch(batch.column(0), found, len(right.names))
+        for text in batch.column(1).to_pylist():
+            waiting.append(SAFE.split(text) if text else [])
+            size += len(text or "")
+            if size >= BATCH_CHARS:
+                found += aligner.documents(waiting)
+                waiting, size = [], 0
+        found += aligner.documents(waiting) if waiting else []
+        yield _batch(batch.column(0), found, len(aligner.right.names))
 
     return map_batches(texts(docs), rows, SCHEMA)
 
 
-def _batch(ids: pa.Array, found: list[_Aligned], size_b: int) -> Iterator[pa.RecordBatch]:
-    pairs = [x.pairs(size_b) for x in found]
-    numbers = np.array([x.numbers if x.whole else np.zeros(4, np.int64) for x in found])
-    pair, times = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-    offsets = pa.array(np.concatenate(([0], np.cumsum([len(p[0]) for p in pairs]))), pa.int32())
-    struct = pa.StructArray.from_arrays(
-        [pa.array(pair // size_b, pa.int32()), pa.array(pair % size_b, pa.int32()), pa.array(times)], ["a", "b", "times"])
-    yield pa.RecordBatch.from_arrays(
-        [ids, *(pa.array(numbers[:, k]) for k in range(4)), pa.array([";".join(x.groups) if x.whole else "" for x in found]),
+def _batch(ids: pa.Array, found: list[tuple], size_b: int) -> pa.RecordBatch:
+    numbers, groups, pairs, times = zip(*found)
+    pair = np.concatenate(pairs)
+    offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in pairs]))), pa.int32())
+    struct = pa.StructArray.from_arrays([pa.array(pair // size_b, pa.int32()), pa.array(pair % size_b, pa.int32()),
+                                         pa.array(np.concatenate(times))], ["a", "b", "times"])
+    return pa.RecordBatch.from_arrays(
+        [ids, *(pa.array(n) for n in np.array(numbers).T), pa.array(groups, pa.string()),
          pa.ListArray.from_arrays(offsets, struct)], [part.split()[0] for part in SCHEMA.split(", ")])
 
 

@@ -171,30 +171,26 @@ def test_alignment_awkward_rows(spark, awkward, tokenizers):  # noqa: F811
 
 
 def test_alignment_in_parts_and_large_groups(tokenizers, monkeypatch):
-    """Parts and counted groups give what whole texts and single links give."""
-    left, right = (alignment.ByteLevel(registry.tokenizer(registry.BYTE_TOKENIZER)),
-                   alignment.Pieces(registry.tokenizer(registry.PIECE_TOKENIZER)))
+    """Stretches and counted groups give what whole texts and single links give."""
+    aligner = alignment.Aligner(registry.tokenizer(registry.BYTE_TOKENIZER), registry.tokenizer(registry.PIECE_TOKENIZER))
     rng = np.random.default_rng(3)
-    pool = list("abcé漢1²  '\n.,😀") + ["word", " it", "the ", "\t", "🇫🇷"]
-    texts = ["".join(rng.choice(pool, 400)) for _ in range(150)] + [x for x in HARD if x]
-
-    def align(text, most):
-        found = alignment._Aligned()
-        parts = alignment.split_safely(text, most)
-        data = [b" " + x.encode() for x in parts]
-        for a, b in zip(left.encode(parts, data), right.encode(parts, data)):
-            found.add(a, b, left.names, right.names)
-        pair, times = found.pairs(len(right.names))
-        return (found.groups, found.numbers.tolist(), pair.tolist(), times.tolist()) if found.whole else None
-
-    whole = [align(t, 10**9) for t in texts]
-    assert [align(t, 30) for t in texts] == whole
+    pool = list("abcé漢1²  '\n.,😀") + ["word", " it", "the ", "\t", "🇫🇷", " one two "]
+    texts = ["".join(rng.choice(pool, 400)) for _ in range(300)] + [x for x in HARD if x]
+
+    def align(text, cut):
+        numbers, groups, pair, times = aligner.documents([alignment.SAFE.split(text) if cut else [text]])[0]
+        return numbers.tolist(), groups, pair.tolist(), times.tolist()
+
+    whole = [align(t, False) for t in texts]
+    assert [align(t, True) for t in texts] == whole
+    monkeypatch.setattr(alignment, "REMEMBERED", 5)
+    monkeypatch.setattr(alignment, "PART_CHARS", 20)
+    assert [align(t, True) for t in texts] == whole
     monkeypatch.setattr(alignment, "LARGE_GROUP", 1)
-    assert [align(t, 10**9) for t in texts] == whole
+    assert [align(t, False) for t in texts] == whole
     for text, found in zip(texts, whole):
-        assert (found is None) == (token_bytes(tokenizers, text) is None)
-        if found:
-            assert found[1][3] == sum(found[3])
+        assert (found[0][0] == 0) == (token_bytes(tokenizers, text) is None)
+        assert found[0][3] == sum(found[3])
 
 
 # --- whitening --------------------------------------------------------------------
