@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups
           "links array<struct<a:int,b:int,times:long>>")
 PART_CHARS, BATCH_CHARS = 1 << 13, 1 << 19  # characters encoded as one text, and held at once unless one text is longer
 LARGE_GROUP = 1 << 16  # links of a group beyond which its ids are counted before they are paired
-REMEMBERED, LONGEST_KEPT = 1 << 17, 60  # stretches of text whose alignment a worker keeps, and their characters
+REMEMBERED, LONGEST_KEPT = 1 << 19, 60  # stretches of text whose alignment a worker keeps, and their characters
 FREQUENT = 1 << 18  # id pairs whose counts are sent to all tasks; the others are joined
 SPACE = "▁"
 
@@ -68,7 +69,7 @@ class ByteLevel:
             if b"".join([self.bytes[i] for i in ids]) != spelt:
                 yield None
                 continue
-            ids, spans = np.array(ids, np.int64), np.array(found.offsets, np.int64).reshape(-1, 2)
+            ids, spans = np.array(ids, np.int64), np.fromiter(chain.from_iterable(found.offsets), np.int64).reshape(-1, 2)
             if len(spelt) > len(part) + 1:
                 spans = _character_begins(spelt)[spans]
             # A token that the next one begins before the end of shares its last character.
@@ -92,15 +93,14 @@ class Pieces:
     def encode(self, parts: list[str], data: list[bytes]) -> Iterator[Tokens | None]:
         found = self.encoder.encode(parts, return_type="proto", num_threads=1)
         for spelt, proto in zip(data, found, strict=True):
-            pieces = proto.pieces
-            ids = [x.id for x in pieces]
+            numbers = [n for x in proto.pieces for n in (x.id, x.end)]
+            ids = numbers[::2]
             if b"".join([self.bytes[i] for i in ids]) != spelt:
                 yield None
                 continue
             ids = np.array(ids, np.int64)
-            begins = np.array([x.begin for x in pieces], np.int64)  # bytes of the text, the added space not counted
-            ends = np.array([x.end for x in pieces], np.int64)
-            known = (ends > begins) & np.append(begins[1:] >= ends[:-1], True)
+            ends = np.array(numbers[1::2], np.int64)  # in bytes of the text, the added space not counted
+            known = np.diff(ends, prepend=0) > 0  # spans follow each other; that of a byte before the last is empty
             yield Tokens(ids, ends + 1, known, self.lengths[ids])
 
 
