@@ -130,9 +130,10 @@ def _linked(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-#: A single space between two letters or digits: tokens of both sides end before it, and what follows is encoded as if
-#: it stood alone. (The space comes first, so that the search can look for it.)
-SAFE = re.compile(r" (?<=[^\W_] )(?=[^\W_])")
+#: A single space between two characters that are no spaces: tokens of both sides end before it (a byte-level word takes
+#: the space before it along, a piece has spaces at its start only), and what follows is encoded as if it stood alone.
+SAFE = re.compile(rf" (?<=[^\s{SPACE}] )(?=[^\s{SPACE}])")
+EDGE = re.compile(rf"[^\s{SPACE}](?s:.*[^\s{SPACE}])?")  # what may stand next to such a space
 NOTHING = ("", b"", 0, 0, 0, 0, False)
 
 
@@ -151,7 +152,7 @@ class Aligner:
     def learn(self, stretches: Iterable[str]) -> None:
         joined, length, parts = [], 0, []
         for x in stretches:
-            if len(x) <= LONGEST_KEPT and x[0].isalnum() and x[-1].isalnum():
+            if len(x) <= LONGEST_KEPT and EDGE.fullmatch(x):
                 joined.append(x)
                 length += len(x) + 1
                 if length >= PART_CHARS:

@@ -174,8 +174,8 @@ def test_alignment_in_parts_and_large_groups(tokenizers, monkeypatch):
     """Stretches and counted groups give what whole texts and single links give."""
     aligner = alignment.Aligner(registry.tokenizer(registry.BYTE_TOKENIZER), registry.tokenizer(registry.PIECE_TOKENIZER))
     rng = np.random.default_rng(3)
-    pool = list("abcé漢1²  '\n.,😀") + ["word", " it", "the ", "\t", "🇫🇷", " one two "]
-    texts = ["".join(rng.choice(pool, 400)) for _ in range(300)] + [x for x in HARD if x]
+    pool = list("abcé漢1²  '\n.,😀$") + ["word", " it", "the ", "\t", "🇫🇷", " one two ", " 's ", "\u00a0", "\u200b", "\x1c", "\x85"]
+    texts = ["".join(rng.choice(pool, 400)) for _ in range(1000)] + [x for x in HARD if x]
 
     def align(text, cut):
         numbers, groups, pair, times = aligner.documents([alignment.SAFE.split(text) if cut else [text]])[0]
