@@ -11,19 +11,18 @@ from pyspark.sql import types as T
 from oracle.sql import ORACLE
 from seawake import session
 from seawake.operators import aggregates as agg
+from seawake.operators import alerts
 from seawake.operators import anomalies as anom
 from seawake.operators import eta, latest, ports, timeline, windows
 from seawake.plans import reports
-from seawake.schemas import SHIP, TIE, TIME
+from seawake.schemas import EXTENDED_MESSAGE, SHIP, TIE, TIME
 from seawake.sources import events, messages, tables
 from seawake.streaming import io, queries as streams
 
 try:  # the training-data operators are an optional part
     import corpus_pipeline
     from seawake.llm import registry as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "seawake.llm"):
-        raise
+except ImportError:
     corpus_pipeline = llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -105,6 +104,17 @@ def _pruned_hourly_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.filter(F.col("hour").between(6, 11))
 
 
+def _archive_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages to the archive on disk, and the alerts of its last day; "now" comes from the newest partition."""
+    sent = messages.tracking_messages(events.read_telemetry(session.prepare(spark), sf_dir, extended=True),
+                                      schema=EXTENDED_MESSAGE)
+    path = session.shared_dir(spark, "archive")
+    tables.write_partitioned(io.telemetry(sent).select(*tables.RAW_ARCHIVE.fieldNames()), path)
+    now = tables.newest_time(spark, path)
+    recent = anom.recent(tables.read_raw(spark, path), days=1, as_of=now, date="date")
+    return _ntz(alerts.row_alerts(recent))
+
+
 def _table_counts(t: DataFrame) -> DataFrame:
     return agg.table_counts({
         "raw_telemetry": t,
@@ -169,6 +179,10 @@ def _telemetry_queries() -> dict[str, Query]:
         "urgent_maintenance": ext(_urgent(1)),
         "urgent_maintenance_30d": ext(_urgent(30)),
         "active_alerts": ext(anom.active_alerts),
+        "fleet_alerts": ext(lambda t: alerts.fleet_alerts(t, HALF_DAY)),
+        "alert_codes": ext(lambda t: alerts.with_codes(t).select(
+            TIE, SHIP, F.array_join("anomalies", ",").alias("anomalies"))),
+        "archive_alerts": _archive_alerts,
         # batch analyses
         "ship_statistics": on(agg.ship_statistics),
         "route_performance": on(agg.route_performance),
@@ -252,6 +266,10 @@ def _telemetry_queries() -> dict[str, Query]:
         "stream_window_distance": _on_stream(lambda t: _round(streams.window_distance(t, SIX_HOURS), "distance_nm")),
         "stream_window_alert_score": _on_stream(lambda t: streams.window_alert_score(t, SIX_HOURS), extended=True),
         "stream_eta_adjusted": _on_stream(streams.eta_adjusted),
+        "stream_fleet_alerts": _on_stream(lambda t: streams.fleet_alerts(t, HALF_DAY), extended=True),
+        "stream_dominant_direction": _on_stream(lambda t: streams.dominant_direction(t, SIX_HOURS)),
+        "stream_window_efficiency": _on_stream(lambda t: _round(
+            streams.window_efficiency(t, SIX_HOURS), "distance_nm", "efficacite_nm_par_litre")),
     }
 
 

@@ -223,6 +223,31 @@ def top_routes(n: int) -> str:
 ORDER BY nombre_navires DESC, port_depart, port_arrivee LIMIT {n}"""
 
 
+COURSE = f"""course AS (
+  SELECT *, 4 AS rank, 'OFF_COURSE' AS anomalie, 'faible' AS severite, 1 AS points, 'Autre anomalie' AS description
+  FROM telemetry WHERE abs((cap_degres - {BEARING} + 540) % 360 - 180) > 20
+)"""
+ON_A_ROW = """(SELECT event_id, navire_id, ts, rank, anomalie, severite, description FROM documented
+   UNION ALL SELECT event_id, navire_id, ts, rank, anomalie, severite, description FROM course)"""
+
+
+def fleet_alerts(until: str) -> str:
+    return f"""SELECT navire_id, ts AS "timestamp", anomalie, severite, description FROM {ON_A_ROW} r
+UNION ALL SELECT navire_id, signal_perdu_a, 'LOST_SIGNAL', 'eleve', 'Autre anomalie' FROM ({signal_lost("12 hours", until)}) s"""
+
+
+DIRECTION = """SELECT window_start, window_start + INTERVAL '6 hours' AS window_end, navire_id, secteur, nombre
+        FROM (SELECT time_bucket(INTERVAL '6 hours', ts) AS window_start, navire_id,
+                     CAST(floor(((cap_degres + 22.5) % 360) / 45) AS INTEGER) AS secteur, count(*) AS nombre
+              FROM telemetry GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY window_start, navire_id ORDER BY nombre DESC, secteur) = 1"""
+EFFICIENCY = f"""SELECT navire_id, window_start, window_end, round(nm, 6) AS distance_nm,
+        carburant_utilise, round(CASE WHEN carburant_utilise > 0 THEN nm / carburant_utilise ELSE 0 END, 6) AS efficacite_nm_par_litre
+        FROM (SELECT navire_id, window_start, window_end, coalesce(sum({LEG}), 0) AS nm,
+                     arg_min(carburant_litres, (ts, event_id)) - arg_max(carburant_litres, (ts, event_id)) AS carburant_utilise
+              FROM windowed GROUP BY ALL) w"""
+
+
 # name -> (common table expressions, statement)
 _STATEMENTS: dict[str, tuple[list[str], str]] = {
     "telemetry_scan": ([], f"SELECT {BASIC} FROM telemetry"),
@@ -347,17 +372,9 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
     "window_stats_6h": ([], window_stats("6 hours")),
     "window_distance": ([with_legs("5 minutes")], window_distance()),
     "window_distance_6h": ([with_legs("6 hours")], window_distance()),
-    "dominant_direction": ([], """SELECT window_start, window_start + INTERVAL '6 hours' AS window_end, navire_id, secteur, nombre
-        FROM (SELECT time_bucket(INTERVAL '6 hours', ts) AS window_start, navire_id,
-                     CAST(floor(((cap_degres + 22.5) % 360) / 45) AS INTEGER) AS secteur, count(*) AS nombre
-              FROM telemetry GROUP BY ALL)
-        QUALIFY row_number() OVER (PARTITION BY window_start, navire_id ORDER BY nombre DESC, secteur) = 1"""),
+    "dominant_direction": ([], DIRECTION),
     "window_alert_score": ([DOCUMENTED], ALERT_SCORE.format(where="")),
-    "window_efficiency": ([with_legs("6 hours")], f"""SELECT navire_id, window_start, window_end, round(nm, 6) AS distance_nm,
-        carburant_utilise, round(CASE WHEN carburant_utilise > 0 THEN nm / carburant_utilise ELSE 0 END, 6) AS efficacite_nm_par_litre
-        FROM (SELECT navire_id, window_start, window_end, coalesce(sum({LEG}), 0) AS nm,
-                     arg_min(carburant_litres, (ts, event_id)) - arg_max(carburant_litres, (ts, event_id)) AS carburant_utilise
-              FROM windowed GROUP BY ALL) w"""),
+    "window_efficiency": ([with_legs("6 hours")], EFFICIENCY),
     "distance_to_port": ([], f"SELECT navire_id, event_id, ts, port_arrivee, round({haversine(*HERE_TO_PORT)}, 6) AS distance_port_nm FROM telemetry"),
     "distance_to_port_km": ([], f"SELECT navire_id, event_id, ts, port_arrivee, round({haversine_km(*HERE_TO_PORT)}, 6) AS distance_port_nm FROM telemetry"),
     "bearing_to_port": ([], f"SELECT navire_id, event_id, ts, port_arrivee, round({BEARING}, 6) AS cap_port_degres FROM telemetry"),
@@ -432,6 +449,15 @@ _STATEMENTS: dict[str, tuple[list[str], str]] = {
     "stream_window_distance": ([with_legs("6 hours")], closed(window_distance())),
     "stream_window_alert_score": ([DOCUMENTED], closed(ALERT_SCORE.format(where=""))),
     "stream_eta_adjusted": ([], closed(ETA_ADJUSTED, "mise_a_jour")),
+    "stream_fleet_alerts": ([DOCUMENTED, COURSE, LINKED], fleet_alerts("(SELECT max(ts) FROM telemetry) - INTERVAL '10 minutes'")),
+    "stream_dominant_direction": ([], closed(DIRECTION)),
+    "stream_window_efficiency": ([with_legs("6 hours")], closed(EFFICIENCY)),
+    "fleet_alerts": ([DOCUMENTED, COURSE, LINKED], fleet_alerts("(SELECT max(ts) FROM telemetry)")),
+    "alert_codes": ([DOCUMENTED, COURSE], f"""SELECT t.event_id, t.navire_id, coalesce(d.codes, '') AS anomalies
+        FROM telemetry t LEFT JOIN (SELECT event_id, string_agg(anomalie, ',' ORDER BY rank) AS codes FROM {ON_A_ROW} r
+          GROUP BY event_id) d USING (event_id)"""),
+    "archive_alerts": ([DOCUMENTED, COURSE], f"""SELECT navire_id, ts AS "timestamp", anomalie, severite, description
+        FROM {ON_A_ROW} r WHERE ts > (SELECT max(ts) FROM telemetry) - INTERVAL '1 day'"""),
 }
 
 ORACLE = {name: "WITH " + ", ".join([TELEMETRY, *ctes]) + "\n" + statement

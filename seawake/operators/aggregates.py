@@ -12,8 +12,9 @@ from seawake.functions.rules import guarded_ratio, is_anomaly, maintenance_prior
 from seawake.schemas import OPERATING, ROUTE, SHIP, TIE, TIME, OperatingRules
 
 
-def ship_route_rollup(df: DataFrame, rules: OperatingRules = OPERATING, tie: str | None = TIE) -> DataFrame:
-    """Everything the ship and route analyses need, one row per ship and route.
+def ship_route_rollup(df: DataFrame, rules: OperatingRules = OPERATING, tie: str | None = TIE,
+                      by: Sequence[str] = ()) -> DataFrame:
+    """Everything the ship and route analyses need, one row per ship and route (and ``by``, say the day).
 
     Sums, counts, extremes and the first and last fuel level can be merged
     further, so ship statistics, route performance, maintenance, voyages,
@@ -27,7 +28,7 @@ def ship_route_rollup(df: DataFrame, rules: OperatingRules = OPERATING, tie: str
         return [F.sum(column).alias(f"{short}_somme"), F.count(column).alias(f"{short}_n"),
                 F.max(column).alias(f"{short}_max"), F.min(column).alias(f"{short}_min")]
 
-    return df.groupBy(SHIP, *ROUTE).agg(
+    return df.groupBy(*by, SHIP, *ROUTE).agg(
         F.count("*").alias("nombre_mesures"),
         *parts("vitesse_noeuds", "vitesse"),
         *parts("consommation_horaire_litres", "consommation"),
@@ -40,6 +41,16 @@ def ship_route_rollup(df: DataFrame, rules: OperatingRules = OPERATING, tie: str
     )
 
 
+def merged_rollup(parts: DataFrame) -> DataFrame:
+    """The rollup of all rows from rollups of parts of them (of single days, for instance)."""
+    merge = {"somme": F.sum, "n": F.sum, "max": F.max, "min": F.min}
+    figures = [merge[how](f"{short}_{how}").alias(f"{short}_{how}")
+               for short in ("vitesse", "consommation", "distance", "temp") for how in merge]
+    return parts.groupBy(SHIP, *ROUTE).agg(
+        F.sum("nombre_mesures").alias("nombre_mesures"), *figures, F.sum("incidents").alias("incidents"),
+        F.sum("anomalies").alias("anomalies"), F.min("premier").alias("premier"), F.max("dernier").alias("dernier"))
+
+
 def _mean(short: str) -> Column:
     return F.try_divide(F.col(f"{short}_somme"), F.col(f"{short}_n"))
 
@@ -190,12 +201,8 @@ def ship_vs_route(df: DataFrame) -> DataFrame:
 
 def ship_rank_in_route(stats: DataFrame) -> DataFrame:
     """RANK and DENSE_RANK of the ships of a route by efficiency (one row per ship, not per message)."""
-    best = Window.partitionBy(*ROUTE).orderBy(F.col("efficacite_carburant_nm_per_litre").desc())
-    return stats.select(
-        *ROUTE, SHIP, "efficacite_carburant_nm_per_litre",
-        F.rank().over(best).alias("rang"),
-        F.dense_rank().over(best).alias("rang_dense"),
-    )
+    value = "efficacite_carburant_nm_per_litre"
+    return ranked(stats.select(*ROUTE, SHIP, value), value, ROUTE, "rang", "rang_dense")
 
 
 def fleet_kpis_of(rollup: DataFrame) -> DataFrame:
@@ -236,23 +243,43 @@ def traffic_grid(df: DataFrame, cell_degrees: float = 0.5) -> DataFrame:
     """Messages per grid cell: the table behind a density map."""
     row = F.floor(F.col("latitude") / cell_degrees).alias("cellule_lat")
     col = F.floor(F.col("longitude") / cell_degrees).alias("cellule_lon")
-    placed = df.filter(~F.isnan("latitude") & ~F.isnan("longitude"))
+    placed = df.filter((F.col("latitude").isNull() | is_finite(F.col("latitude")))
+                       & (F.col("longitude").isNull() | is_finite(F.col("longitude"))))
     return placed.groupBy(row, col).agg(F.count("*").alias("nombre"))
 
 
+def in_value_ranges(df: DataFrame, value: str, keys: Sequence[str], ranges: int = 64, spread: int = 16) -> DataFrame:
+    """Adds ``_bin``, the number of a value's range within its key: ``ranges`` ranges of about as many rows each.
+
+    A mergeable quantile sketch per key (its size depends on the accuracy alone) gives the values between the ranges.
+    They are few, but a key may have a third of all rows, so the join that brings them together is salted over
+    ``spread`` tasks. NULL has range -1, NaN the highest.
+    """
+    numbers = df.filter(is_finite(F.col(value)))
+    at = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    cuts = numbers.groupBy(*keys).agg(F.percentile_approx(value, at, 10 * ranges).alias("_cuts"))
+    cuts = cuts.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_cuts",
+                       F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_of_salt"))
+    # Null-safe equality: a NULL key is a key.
+    match = F.col("_salt") == F.col("_of_salt")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    rows = df.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(spread)).cast("int"))
+    passed = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<double>")), lambda cut: cut < F.col(value)))
+    return rows.join(cuts, match, "left").withColumn("_bin", F.when(F.col(value).isNull(), -1).otherwise(passed)).drop(
+        "_salt", "_of_salt", "_cuts", *[f"_of_{k}" for k in keys])
+
+
 def quantiles(df: DataFrame, value: str, names: dict[str, float], keys: Sequence[str] = (SHIP,),
-              bin_width: float = 1.0) -> DataFrame:
+              ranges: int = 64) -> DataFrame:
     """Exact interpolated quantiles per key without gathering a key's values.
 
-    Equal values are counted before any shuffle. A histogram per key then tells
-    which bins hold the wanted ranks, and only the distinct values of those
-    bins are put in order.
+    Equal values are counted before any shuffle. Value ranges of about equal size per key then tell where the wanted
+    ranks lie, and only the distinct values of those ranges are put in order: a task orders a ``ranges``-th part of a
+    key, however the values are spread. NULL, NaN and infinite values don't count.
     """
-    counted = (
-        df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(value).alias("_c"))
-        .filter("_c > 0")  # the group of NULL values
-        .withColumn("_bin", F.floor(F.col("_v") / bin_width))
-    )
+    counted = df.filter(is_finite(F.col(value))).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    counted = in_value_ranges(counted, "_v", keys, ranges)
     by_bin = Window.partitionBy(*keys).orderBy("_bin")
     bins = (
         counted.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_bc"))
@@ -270,7 +297,7 @@ def quantiles(df: DataFrame, value: str, names: dict[str, float], keys: Sequence
     wanted = bins.filter(hit).select(
         *[F.col(k).alias(f"_of_{k}") for k in [*keys, "_bin"]], "_before", "_n")
     # Null-safe equality adds no IS NOT NULL filters to one side only, so both
-    # sides share a single scan and shuffle of the counted values.
+    # sides share the scans and shuffles below them.
     match = F.lit(True)
     for k in [*keys, "_bin"]:
         match = match & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
@@ -295,6 +322,29 @@ def quantiles(df: DataFrame, value: str, names: dict[str, float], keys: Sequence
     )
 
 
+def ranked(df: DataFrame, value: str, keys: Sequence[str], rank: str, dense: str, ranges: int = 64) -> DataFrame:
+    """RANK and DENSE_RANK by falling ``value`` within ``keys``, without a window over a whole key.
+
+    A value's rank is its rank inside its range plus the rows (or the different values) of all higher ranges; ranges
+    are few per key and are summed up there. NaN comes first and NULL last, as in a window.
+    """
+    rows = in_value_ranges(df, value, keys, ranges)
+    different = F.count_distinct(value) + F.max(F.when(F.col(value).isNull(), 1).otherwise(0))
+    above = Window.partitionBy(*keys).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys, "_bin").agg(F.count("*").alias("_rows"), different.alias("_values"))
+    bins = counts.select(
+        *[F.col(k).alias(f"_of_{k}") for k in [*keys, "_bin"]],
+        F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_rows"),
+        F.coalesce(F.sum("_values").over(above), F.lit(0)).alias("_values"))
+    match = F.lit(True)
+    for k in [*keys, "_bin"]:
+        match = match & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    inside = Window.partitionBy(*keys, "_bin").orderBy(F.col(value).desc())
+    return rows.join(bins, match).select(
+        *df.columns, (F.rank().over(inside) + F.col("_rows")).cast("int").alias(rank),
+        (F.dense_rank().over(inside) + F.col("_values")).cast("int").alias(dense))
+
+
 def ship_quartiles(df: DataFrame, value: str = "vitesse_noeuds") -> DataFrame:
     """The five figures of a box plot per ship."""
     return quantiles(df, value, {"minimum": 0.0, "q1": 0.25, "mediane": 0.5, "q3": 0.75, "maximum": 1.0})

@@ -24,6 +24,11 @@ def anomalies_detected(df: DataFrame, rules: OperatingRules = OPERATING, with_po
     )
 
 
+def anomalies_by_day(df: DataFrame, rules: OperatingRules = OPERATING) -> DataFrame:
+    """The anomalies with their date, for a table that is replaced day by day."""
+    return anomalies_detected(df, rules).withColumn("date", F.to_date("timestamp"))
+
+
 def anomaly_summary(anomalies: DataFrame) -> DataFrame:
     return anomalies.groupBy(SHIP, "type_anomalie").agg(F.count("*").alias("nombre_anomalies"))
 

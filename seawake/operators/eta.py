@@ -33,10 +33,9 @@ def eta_adjusted(df: DataFrame, span: str = "30 minutes", every: str = "5 minute
     """Arrival estimate from the mean speed of the last half hour, renewed every five minutes.
 
     The speed is lowered by a factor for the weather and the hours raised by a
-    safety buffer; both are parameters. A bounded table is first summed up per
-    step, so that the copies for overlapping windows are made of step sums and
-    not of rows. On a stream the rows go straight into the overlapping windows
-    (one stateful operator; each micro-batch is small).
+    safety buffer; both are parameters. Rows are first summed up per step, then
+    the steps of a window are: the copies for overlapping windows are made of
+    step sums and not of rows. On a stream these are two stateful operators.
     """
     factor = lookup(rules.weather_factor, F.col("meteo"), 1.0)
     rows = df.select(
@@ -48,12 +47,11 @@ def eta_adjusted(df: DataFrame, span: str = "30 minutes", every: str = "5 minute
         return source.groupBy(window.alias("window"), SHIP, "port_arrivee").agg(
             F.sum("_speed").alias("_speed"), F.sum("_n").alias("_n"), F.max("_last").alias("_last"))
 
-    if not df.isStreaming:
-        rows = summed(rows, F.window(TIME, every)).withColumn(TIME, F.col("window.start")).drop("window")
+    steps = summed(rows, F.window(TIME, every)).withColumnRenamed("window", "step")
     recent = F.col("_speed") / F.col("_n")
     speed = F.col("vitesse_recente") * F.col("_last.factor")
     return (
-        summed(rows, F.window(TIME, span, every))
+        summed(steps, F.window("step", span, every))
         .filter(F.col("_n") > 0)
         .withColumn("vitesse_recente", recent)
         .filter((speed > 0) & (F.col("_last.distance") > 0))

@@ -84,16 +84,15 @@ def _walk(ordered: Column) -> Column:
     return F.aggregate(F.slice(ordered, F.lit(2), F.size(ordered)), start, step, lambda state: state["nm"])
 
 
-def window_distance_by_pieces(df: DataFrame, span: int = FIVE_MINUTES, piece: int = 60) -> DataFrame:
-    """The streaming form of :func:`window_distance` (LAG is not available on streams).
+def _paths(df: DataFrame, span: int, piece: int, *extra: str) -> DataFrame:
+    """Path pieces of each window and ship, in order, by two stacked window aggregations (LAG is not available on streams).
 
-    Two stacked window aggregations: the positions of a ship within one minute
-    become a piece of the path, and the pieces of a window are joined up. An
-    array therefore holds one ship's messages of a minute, or one entry per
-    minute of the window.
+    The positions of a ship within one minute become a piece of the path, and a window gathers its pieces. An array
+    therefore holds one ship's messages of a minute, or one entry per minute of the window. ``extra`` columns travel
+    with the first and the last position of a piece.
     """
     piece = math.gcd(span, piece)
-    place = F.struct("latitude", "longitude")
+    place = F.struct("latitude", "longitude", *extra)
     point = F.struct(TIME, TIE, F.lit(0.0).alias("nm"), place.alias("first"), place.alias("last"))
     points = F.array_sort(F.col("_points"))
     pieces = (
@@ -104,21 +103,38 @@ def window_distance_by_pieces(df: DataFrame, span: int = FIVE_MINUTES, piece: in
     )
     return (
         pieces.groupBy(F.window("piece", f"{span} seconds").alias("window"), SHIP)
-        .agg(F.sum("_n").alias("nombre_positions"), F.collect_list("_piece").alias("_pieces"))
+        .agg(F.sum("_n").alias("_n"), F.collect_list("_piece").alias("_pieces"))
         .select(SHIP, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                "nombre_positions", _walk(F.array_sort("_pieces")).alias("distance_nm"))
+                "_n", F.array_sort("_pieces").alias("_pieces"))
     )
 
 
+def window_distance_by_pieces(df: DataFrame, span: int = FIVE_MINUTES, piece: int = 60) -> DataFrame:
+    """The streaming form of :func:`window_distance`."""
+    return _paths(df, span, piece).select(SHIP, "window_start", "window_end", F.col("_n").alias("nombre_positions"),
+                                          _walk(F.col("_pieces")).alias("distance_nm"))
+
+
+def window_efficiency_by_pieces(df: DataFrame, span: int = FIVE_MINUTES, piece: int = 60) -> DataFrame:
+    """The streaming form of :func:`window_efficiency`: the first and last fuel levels travel with the path."""
+    pieces, fuel = F.col("_pieces"), "carburant_litres"
+    paths = _paths(df, span, piece, fuel).select(
+        SHIP, "window_start", "window_end", _walk(pieces).alias("distance_nm"),
+        (pieces[0]["first"][fuel] - F.element_at(pieces, -1)["last"][fuel]).alias("carburant_utilise"))
+    return paths.withColumn("efficacite_nm_par_litre", guarded_ratio(F.col("distance_nm"), F.col("carburant_utilise")))
+
+
 def dominant_direction(df: DataFrame, span: int = FIVE_MINUTES) -> DataFrame:
-    """Most frequent of eight compass sectors per window and ship; the lowest sector wins ties."""
-    counts = (
-        df.groupBy(tumbling(span), SHIP, geo.compass_sector(F.col("cap_degres")).alias("secteur"))
-        .agg(F.count("*").alias("nombre"))
-    )
+    """Most frequent of eight compass sectors per window and ship; the lowest sector wins ties.
+
+    A counter for each sector and one for unknown headings are the whole state, so one aggregation serves batch and
+    stream.
+    """
+    sector = geo.compass_sector(F.col("cap_degres"))
+    counts = [F.struct(F.count_if(sector == k).alias("nombre"), F.lit(-k).alias("rang")) for k in range(8)]
+    unknown = F.struct(F.count_if(sector.isNull()).alias("nombre"), F.lit(None).cast("int").alias("rang"))
     return (
-        counts.groupBy("window", SHIP)
-        .agg(F.max(F.struct("nombre", (-F.col("secteur")).alias("rang"))).alias("_top"))
+        df.groupBy(tumbling(span), SHIP).agg(F.array_max(F.array(*counts, unknown)).alias("_top"))
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), SHIP,
                 (-F.col("_top.rang")).alias("secteur"), F.col("_top.nombre").alias("nombre"))
     )

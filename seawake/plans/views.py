@@ -10,7 +10,7 @@ from seawake.operators import aggregates, anomalies
 from seawake.operators.latest import current_positions
 from seawake.plans import reports
 from seawake.schemas import TIME
-from seawake.sources.tables import read_raw
+from seawake.sources.tables import exists, newest_time, read_raw
 
 # View name -> folder under the root.
 TABLES = {
@@ -25,6 +25,9 @@ TABLES = {
 }
 
 
+ROLLUP = "analysis/ship_route_rollup"
+
+
 def load_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Every table under ``root`` by view name; raw rows also carry their time as ``timestamp``."""
     tables = {}
@@ -40,11 +43,14 @@ def register_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Registers the tables, the documented views and the geodesic SQL functions."""
     tables = load_tables(spark, root)
     raw = tables["raw_telemetry"]
+    now = newest_time(spark, f"{root}/{TABLES['raw_telemetry']}")
+    written = f"{root}/{ROLLUP}"  # the batch job's; without it the view reads the raw rows
+    voyages = (aggregates.voyages_of(spark.read.parquet(written)) if exists(spark, written) else aggregates.voyages(raw))
     views = {
         **tables,
         "v_current_positions": current_positions(raw),
-        "v_ships_requiring_attention": anomalies.alerts_recent(raw, date="date"),
-        "v_route_efficiency": aggregates.route_efficiency(aggregates.voyages(raw)),
+        "v_ships_requiring_attention": anomalies.alerts_recent(raw, as_of=now, date="date"),
+        "v_route_efficiency": aggregates.route_efficiency(voyages),
         "v_active_alerts": anomalies.active_alerts(raw),
         "v_maintenance_alerts": reports.maintenance_alerts(tables["maintenance_prediction"]),
     }

@@ -22,14 +22,14 @@ SETTINGS = {
 
 
 def build(app_name: str = "seawake", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the library's settings; ``extra`` keys use ``_`` for ``.``."""
+    """A session with the library's settings; ``extra`` keys without a dot use ``_`` for it."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     for key, value in extra.items():
-        builder = builder.config(key.replace("_", "."), value)
+        builder = builder.config(key if "." in key else key.replace("_", "."), value)
     return builder.getOrCreate()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from seawake.operators.anomalies import alert_fanout
 from seawake.functions.moments import is_finite
-from seawake.schemas import SHIP, TELEMETRY_MESSAGE, TIE, TIME
+from seawake.schemas import EXTENDED_FIELDS, SHIP, TELEMETRY_MESSAGE, TIE, TIME
 
 TRACKING_TOPIC = "tracking"
 ALERTS_TOPIC = "alerts"
@@ -24,10 +24,13 @@ def parse_messages(messages: DataFrame, schema: T.StructType = TELEMETRY_MESSAGE
     """Columns of every message plus ``rejet``, the reason why it cannot be used (NULL if it can).
 
     The event time is TIMESTAMP. ``event_id`` is a hash of the message text: a
-    stable tie-breaker for messages that carry the same time.
+    stable tie-breaker for messages that carry the same time. An optional field
+    that cannot be read is NULL and named in ``remarque``; the reading counts.
     """
     text, message = F.col("value").cast("string"), F.col("message")
-    read_as = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    optional = {f.name: f.dataType for f in schema.fields if f.name in EXTENDED_FIELDS.fieldNames()}
+    read_as = T.StructType([T.StructField(f.name, T.StringType() if f.name in optional else f.dataType)
+                            for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(message, read_as, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     rows = (
         messages.select(text.alias("message"))
@@ -42,19 +45,34 @@ def parse_messages(messages: DataFrame, schema: T.StructType = TELEMETRY_MESSAGE
         .when(F.col(SHIP).isNull() | F.col("timestamp").isNull(), "champ_manquant")
         .when(F.col(TIME).isNull(), "horodatage")
         .when(F.array_contains(F.array(*[~is_finite(F.col(f.name)) for f in schema.fields
-                                         if isinstance(f.dataType, T.DoubleType)]), True), "nombre")
+                                         if isinstance(f.dataType, T.DoubleType) and f.name not in optional]), True),
+              "nombre")
     )
-    return rows.withColumn("rejet", reason).drop(CORRUPT)
+    rows = rows.withColumn("rejet", reason).drop(CORRUPT)
+    values = {name: _lenient(F.col(name), kind) for name, kind in optional.items()}
+    unread = F.concat_ws(",", *[F.when(F.col(n).isNotNull() & v.isNull(), F.lit(n)) for n, v in values.items()])
+    return rows.withColumn("remarque", F.nullif(unread, F.lit(""))).withColumns(values)
+
+
+def _lenient(text: Column, kind: T.DataType) -> Column:
+    """The number in ``text``; NULL if it is none of this type."""
+    number = text.try_cast("double")
+    return F.when(is_finite(number), number) if isinstance(kind, T.DoubleType) else text.try_cast(kind)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("rejet").isNull()).drop("rejet", "message")
+    return parsed.filter(F.col("rejet").isNull()).drop("rejet", "remarque", "message")
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("rejet").isNotNull()).select("message", "rejet")
 
 
+def remarks(parsed: DataFrame) -> DataFrame:
+    """Accepted messages of which an optional field was left out, with the names of such fields."""
+    return parsed.filter(F.col("rejet").isNull() & F.col("remarque").isNotNull()).select("message", "remarque")
+
+
 def enrich_time(df: DataFrame, processing_time: bool = True) -> DataFrame:
     """Adds the processing time, the calendar date and the hour of the event."""
     extra = {"date": F.to_date(TIME), "hour": F.hour(TIME)}
@@ -70,8 +88,8 @@ def encode(df: DataFrame, schema: T.StructType = TELEMETRY_MESSAGE) -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def tracking_messages(df: DataFrame, topic: str = TRACKING_TOPIC) -> DataFrame:
-    return df.select(F.col(SHIP).alias("key"), encode(df).alias("value"), F.lit(topic).alias("topic"))
+def tracking_messages(df: DataFrame, topic: str = TRACKING_TOPIC, schema: T.StructType = TELEMETRY_MESSAGE) -> DataFrame:
+    return df.select(F.col(SHIP).alias("key"), encode(df, schema).alias("value"), F.lit(topic).alias("topic"))
 
 
 def alert_messages(df: DataFrame, topic: str = ALERTS_TOPIC) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seawake.operators import alerts as fleet
 from seawake.operators import anomalies, eta, windows
 from seawake.schemas import SHIP, TIE, TIME
 from seawake.sources.messages import alert_messages
@@ -41,6 +42,20 @@ def eta_adjusted(df: DataFrame, delay: str = DELAY) -> DataFrame:
     return eta.eta_adjusted(df.withWatermark(TIME, delay))
 
 
+def fleet_alerts(df: DataFrame, gap_seconds: int = 300, delay: str = DELAY) -> DataFrame:
+    """All five documented alerts: a stateless branch for those of a row, closed sessions for the lost signal."""
+    lost = fleet.lost_signal_alerts(signal_lost(df, gap_seconds, delay))
+    return fleet.row_alerts(df).unionByName(lost)
+
+
+def dominant_direction(df: DataFrame, span: int = windows.FIVE_MINUTES, delay: str = DELAY) -> DataFrame:
+    return windows.dominant_direction(df.withWatermark(TIME, delay), span)
+
+
+def window_efficiency(df: DataFrame, span: int = windows.FIVE_MINUTES, delay: str = DELAY) -> DataFrame:
+    return windows.window_efficiency_by_pieces(df.withWatermark(TIME, delay), span)
+
+
 def alerts(df: DataFrame) -> DataFrame:
     return alert_messages(df)
 
