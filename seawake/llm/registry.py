@@ -61,7 +61,7 @@ def op8_decontaminate(spark, sf_dir):
 
 
 def op9_line_dedup(spark, sf_dir):
-    return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), least_chars=line_dedup.LEAST_CHARS)
+    return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
 
 
 def op10_toxicity(spark, sf_dir):
@@ -121,8 +121,7 @@ ORACLE = {
     "op1_mixture": rf"""
 WITH t AS (SELECT doc_id, CASE regexp_extract(coalesce(source, '(none)'), '([0-9])$', 1) {_DOMAIN} ELSE 'other' END AS domain,
   coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
-  len(regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+'))::BIGINT AS n_tokens FROM documents),
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents),
 leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, sum(n_tokens)::HUGEINT * {MIX.epochs} AS capacity
   FROM t WHERE n_tokens > 0 GROUP BY ALL),{_levels()}
 b AS (SELECT l.*, (n.budget // l.tokens)::BIGINT AS whole, (n.budget % l.tokens)::BIGINT AS rest

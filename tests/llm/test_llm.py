@@ -355,7 +355,7 @@ def test_mixture_awkward(awkward):
 
 @pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "embeddings"):
         spark.read.parquet(f"{SMALL}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert registry.QUERIES[name](spark, str(tmp_path)).collect() == []
 
