@@ -30,7 +30,8 @@ BITS = 1 << 24  # of the bitmap of candidates
 ENTRY = np.dtype([("token", "<u8"), ("id", "<i8"), ("n", "<i4"), ("place", "<i4")])
 SINGLE, PAIR, COMMON = 0, 1, 2
 
-KEYS = "doc_id long, n_shingles long, k1 long, k2 long, block int, cells binary"
+PARITY = [f"p{k}" for k in range(8)]  # 64 bits each: whether an odd number of a set's shingles falls on a bit
+KEYS = "doc_id long, n_shingles long, k1 long, k2 long, block int, cells binary, " + ", ".join(f"{p} long" for p in PARITY)
 SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, common int, singles int, tokens binary"
 ENTRIES = "token long, id long, n int, place int, kind int"
 
@@ -59,8 +60,15 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
     return int(first.astype(np.int64)), int(second.astype(np.int64))
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set. Two sets differ in at least as many shingles as their bitmaps differ in bits."""
+    bits = 64 * len(PARITY)
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """Set size and set key of each document and, in rows of their own, each task's counts of shingles by cell of a
+    """Set size, set key and parity bitmap of each document and, in rows of their own, each task's counts of shingles by cell of a
     fixed-size sketch; the block after the last counts small sets by size."""
     def run(batches: Iterator[pa.RecordBatch]):
         cells, sizes = np.zeros(CELLS, np.uint32), np.zeros(BLOCK, np.uint32)
@@ -68,18 +76,21 @@ def keyed(docs: DataFrame) -> DataFrame:
         for batch in batches:
             n = batch.num_rows
             size, k1, k2 = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+            odd = np.zeros((len(PARITY), n), np.int64)
             for row, hashes in doc_sets(batch.column(1)):
                 size[row] = len(hashes)
                 if len(hashes):
+                    odd[:, row] = parity(hashes)
                     np.add.at(cells, _cell(hashes), 1)
                     k1[row], k2[row] = set_key(hashes)
                 sizes[min(len(hashes), LARGEST_SMALL + 1)] += 1
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(k1), pa.array(k2), *(pa.nulls(n, t) for t in nothing)], names)
+                [batch.column(0), pa.array(size), pa.array(k1), pa.array(k2), *(pa.nulls(n, t) for t in nothing),
+                 *(pa.array(p) for p in odd)], names)
         parts = [p.tobytes() for p in (*cells.reshape(-1, BLOCK), sizes)]
         yield pa.RecordBatch.from_arrays(
             [*(pa.nulls(len(parts), pa.int64()) for _ in range(4)), pa.array(range(len(parts)), pa.int32()),
-             pa.array(parts, pa.binary())], names)
+             pa.array(parts, pa.binary()), *(pa.nulls(len(parts), pa.int64()) for _ in PARITY)], names)
 
     names = [part.split()[0] for part in KEYS.split(", ")]
     return docs.mapInArrow(run, KEYS)
@@ -248,6 +259,20 @@ def _most_shared() -> F.Column:
     return F.least(F.col("a.live"), F.col("b.live"), common + F.least(F.col("a.twice"), F.col("b.twice")))
 
 
+def parities(sets: DataFrame) -> DataFrame:
+    """The parity bitmap of each id (NULL for an id of different sets, which is then compared whatever the bits say)."""
+    one = (F.min("k1") == F.max("k1")) & (F.min("k2") == F.max("k2"))
+    return sets.filter("n_shingles > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(
+        *[F.when(one, F.first(p)).alias(p) for p in PARITY])
+
+
+def _near_enough() -> F.Column:
+    """Whether the whole sets, by their sizes and parity bitmaps, can share enough for a link."""
+    apart = sum(F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in PARITY)
+    both = F.col("a.n") + F.col("b.n")
+    return (both - F.coalesce(apart, F.lit(0))) * (100 + SHARE) >= both * 2 * SHARE
+
+
 def _may_link() -> F.Column:
     """Whether a pair's sizes, shared prefix tokens (``c``) and the last of their places leave room for a link.
 
@@ -313,8 +338,9 @@ def near_copies(entries: DataFrame) -> DataFrame:
     return met.groupBy(F.col("id").alias("a")).agg(F.max_by("b", "times").alias("b"))
 
 
-def cross_pairs(entries: DataFrame, groups: DataFrame, small: int) -> DataFrame:
-    """All pairs that share tokens, may link by their number and places, and are not yet in one group.
+def cross_pairs(entries: DataFrame, groups: DataFrame, small: int, bitmaps: DataFrame) -> DataFrame:
+    """All pairs that share tokens, may link by their number and places and by their parity bitmaps, and are not yet in
+    one group.
 
     Tokens with equal lists are taken together: their common list is joined once, with the number of the tokens as a
     weight. In each list the largest group is set aside: its sets meet those of other groups, never one another.
@@ -333,7 +359,7 @@ def cross_pairs(entries: DataFrame, groups: DataFrame, small: int) -> DataFrame:
     alike = ["list1", "list2", "kind"]
     entries = entries.groupBy(*alike, "id").agg(
         F.count("*").alias("weight"), F.max("place").alias("place"), F.max("n").alias("n"), F.max("own").alias("own"))
-    entries = written(entries.join(singles, "id", "left"), "lists")
+    entries = written(entries.join(singles, "id", "left").join(bitmaps, "id", "left"), "lists")
     largest = entries.groupBy(*alike, "own").agg(F.count("*").alias("sets")).groupBy(*alike).agg(
         F.max_by("own", "sets").alias("main"))
     entries = entries.join(largest, alike)
@@ -344,7 +370,7 @@ def cross_pairs(entries: DataFrame, groups: DataFrame, small: int) -> DataFrame:
     sized = (F.col("a.n") * 100 >= F.col("b.n") * SHARE) & (F.col("b.n") * 100 >= F.col("a.n") * SHARE)
     met = a.join(b, (F.col("a.list1") == F.col("b.list1")) & (F.col("a.list2") == F.col("b.list2"))
                  & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.own") != F.col("b.own")) & once & needed & sized
-                 & (subset | _enough(_most_shared(), F.col("a.n"), F.col("b.n"))))
+                 & _near_enough() & (subset | _enough(_most_shared(), F.col("a.n"), F.col("b.n"))))
     place = [F.when(~subset, F.col(f"{x}.place")) for x in "ab"]
     first = F.col("a.id") < F.col("b.id")
     met = met.select(*[F.when(first, x).otherwise(y).alias(name) for name, x, y in (
@@ -373,7 +399,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     keys = written(keyed(docs), "keys")
     cells, sizes = summed_sketch(keys)
     small = boundary(sizes, cells)
-    sets = keys.filter("block is null").select("doc_id", "n_shingles", "k1", "k2")
+    sets = keys.filter("block is null").select("doc_id", "n_shingles", "k1", "k2", *PARITY)
     classes = sets.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     tokens = signed(docs, spark.sparkContext.broadcast(ranks(cells)), small)
     reps = classes.filter("rep is not null").select("k1", "k2", F.col("rep").alias("doc_id"))
@@ -381,7 +407,8 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     entries = written(shared_entries(reps, _buckets(sets)), "entries").dropDuplicates(["token", "id", "kind"])
 
     links = written(linked(near_copies(entries), docs), "links")
-    links = links.unionByName(written(linked(written(cross_pairs(entries, components(links), small), "pairs"), docs), "links"))
+    links = links.unionByName(written(linked(written(
+        cross_pairs(entries, components(links), small, parities(sets)), "pairs"), docs), "links"))
     groups = components(links)
 
     kept = classes.join(groups, classes.rep == groups.id, "left").select(
