@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from seawake.llm.common import map_batches, texts
+from seawake.llm.common import map_batches, texts, written
 from seawake.llm.words import ALNUM, hashed_windows, hashed_words
 
 WINDOW, SHINGLE = 10, 3
-BLOCK_BYTES = 16 << 20  # of benchmark text whose windows are searched for at once
+BLOCK_BYTES = 4 << 20  # of benchmark text whose windows are searched for at once
 FOUND = "doc_id long, row binary, n_words long, spans array<long>, items array<string>"
 RESULT = "doc_id long, row binary, n_words long, n_hit long, spans array<long>, items array<string>"
 
@@ -38,9 +40,10 @@ class Windows:
         return flat.reshape(n, -1)
 
 
-def item_windows(items: list[tuple[str, str]], size: int = WINDOW) -> list[Windows]:
-    """Distinct windows of a block of items, by length. An item shorter than ``size`` is one window."""
-    held: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
+def item_windows(items: list[tuple[str | None, str]], size: int = WINDOW) -> list[Windows]:
+    """Distinct windows of a block of items, by length. An item shorter than ``size`` is one window; one without an id
+    has windows, and names no item."""
+    held: dict[int, dict[bytes, set[str | None]]] = defaultdict(lambda: defaultdict(set))
     for a, b, words, offsets in hashed_words(pa.array([t for _, t in items], pa.string()), ALNUM):
         for row in range(a, b):
             own = words[offsets[row - a]:offsets[row - a + 1]]
@@ -48,7 +51,7 @@ def item_windows(items: list[tuple[str, str]], size: int = WINDOW) -> list[Windo
             for k in range(len(own) - n + 1 if n else 0):
                 held[n][own[k:k + n].tobytes()].add(items[row][0])
     return [Windows(n, np.array([np.frombuffer(w, np.uint64) for w in found]).reshape(-1, n),
-                    [tuple(sorted(x)) for x in found.values()]) for n, found in sorted(held.items())]
+                    [tuple(sorted(x - {None})) for x in found.values()]) for n, found in sorted(held.items())]
 
 
 class Members:
@@ -175,10 +178,10 @@ def scan(docs: DataFrame, searches: list[Prefixes]) -> DataFrame:
     return map_batches(keyed, rows, FOUND)
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
     """Items in blocks of about ``block_bytes``, so that what is sent to the tasks is bounded for any benchmark."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter("item_id is not null and text is not null")
+    items = items.filter("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = size // block_bytes + 1
     for k in range(n):
@@ -186,25 +189,59 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str,
                .dropDuplicates().collect()]
 
 
+def _searches(docs: DataFrame, items: list[tuple[str | None, str]], size: int) -> list[Prefixes]:
+    windows = item_windows(items, size)
+    counts = shingle_counts(docs, windows) if windows else {}
+    return [prefixes(w, counts) for w in windows]
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in whose text no benchmark window occurs.
+
+    Every row is judged by its own text where it lies; nothing is shuffled. Rows without words are clean. A block's
+    clean rows are what the next block is searched for in.
+    """
+    schema, at = docs.schema, docs.columns.index("text")
+    left, last = docs, None
+    for items in _blocks(benchmark, block_bytes):
+        left = left if last is None else written(last, "clean")
+        last = _without(left, _searches(texts(left), items, size), at, schema)
+    return last
+
+
+def _without(docs: DataFrame, searches: list[Prefixes], at: int, schema: T.StructType) -> DataFrame:
+    def rows(batch: pa.RecordBatch):
+        keep = np.ones(batch.num_rows, bool)
+        for a, _, words, offsets in hashed_words(batch.column(at), ALNUM):
+            for search in searches:
+                begin, _ = occurrences(words, offsets, search)
+                keep[a + np.searchsorted(offsets, begin, "right") - 1] = False
+        if keep.any():
+            yield batch.filter(pa.array(keep))
+
+    return map_batches(docs, rows, schema)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Words of every whole document that lie inside an occurrence of a benchmark window.
 
     Shingles of the windows are counted in the corpus; each window is looked up by its rarest one, then checked for
     room before and behind it and compared word by word. The benchmark is the query set: it is sent to the tasks in
-    blocks of ``block_bytes`` of text, and documents stay where they are.
+    blocks of ``block_bytes`` of text, one after the other, and documents stay where they are.
 
     Returns doc_id, row (a digest of the text), n_words, n_hit, spans (first word and word after the last of each hit stretch, in turn) and items
     (ids as sorted strings). Null and empty texts: no words. Null doc_ids are kept, repeated rows give a row each.
-    Items without id, text or words match nothing; items that share an id count once. Other columns are ignored.
+    Items without text or words match nothing; the windows of an item without an id count, and only its id is missing
+    in ``items``; items that share an id count once. Other columns are ignored.
     """
     docs = texts(docs)
-    found, blocks = None, 0
+    parts: list[DataFrame] = []
     for items in _blocks(benchmark, block_bytes):
-        windows = item_windows(items, size)
-        counts = shingle_counts(docs, windows) if windows else {}
-        part = scan(docs, [prefixes(w, counts) for w in windows])
-        found = part if found is None else found.unionByName(part)
-        blocks += 1
+        if len(parts) == 1:
+            parts = [written(parts[0], "found")]
+        part = scan(docs, _searches(docs, items, size))
+        parts.append(written(part, "found") if parts else part)  # a block is dropped before the next one is built
+    found, blocks = reduce(DataFrame.unionByName, parts), len(parts)
     if blocks > 1:  # a group has a row for each block and repeated row
         found = found.groupBy("doc_id", "row", "n_words").agg(
             F.flatten(F.collect_list("spans")).alias("spans"),

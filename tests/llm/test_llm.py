@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import os
 import re
 import zlib
@@ -117,6 +118,25 @@ def test_quality_counts(spark, docs, texts, awkward, labels):
             assert r.kept == (not r.base_failed and r.ratio >= quality.Settings().least_ratio)
 
 
+def test_quality_ratio(spark):
+    """The ratio of units and pairs, counted by their text; so many buckets that hardly two share one."""
+    settings = quality.Settings(buckets=100_000)
+    given = {1: "a b a b-c $$ a", 2: "a a a a", 3: "$$ %% d", 4: "", 5: "b"}
+    table = spark.createDataFrame(list(given.items()), "doc_id long, text string")
+    good = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+
+    def grams(text):
+        units = re.findall(r"[0-9A-Za-z]+|[^0-9A-Za-z\s]+", text)
+        return [*units, *zip(units, units[1:], strict=False)]
+
+    raw = collections.Counter(g for t in given.values() for g in grams(t))
+    trusted = collections.Counter(grams(given[1]))
+    shift = math.log(raw.total() + settings.buckets) - math.log(trusted.total() + settings.buckets)
+    for r in quality.report(table, good, settings).collect():
+        own = [math.log((trusted[g] + 1) / (raw[g] + 1)) + shift for g in grams(given[r.doc_id])]
+        assert r.ratio == pytest.approx(sum(own) / len(own) if own else 0, abs=1e-4)
+
+
 def test_quality_ratio_rejects_junk(spark):
     names = [r.doc_id for r in spark.read.parquet(f"{SMALL}/labels.parquet").filter("quality = 0").collect()]
     got = {r.doc_id: r for r in registry.QUERIES["op2_quality"](spark, SMALL).collect()}
@@ -272,11 +292,11 @@ def brute_hits(text, items):
     for i, t in items:
         own = ALNUM.findall((t or "").translate(LOWER))
         n = min(10, len(own))
-        windows = {tuple(own[k:k + n]) for k in range(len(own) - n + 1)} if own and i is not None else set()
+        windows = {tuple(own[k:k + n]) for k in range(len(own) - n + 1)} if own else set()
         for k in range(len(w) - n + 1 if n else 0):
             if tuple(w[k:k + n]) in windows:
                 hit.update(range(k, k + n))
-                held.add(str(i))
+                held.update(() if i is None else (str(i),))
     return len(w), len(hit), len(held), hashlib.sha256(",".join(sorted(held)).encode()).hexdigest(), bool(hit)
 
 
@@ -291,6 +311,15 @@ def test_decontamination(spark, docs, texts, awkward, bench, block_bytes):
         assert collections.Counter(tuple(r) for r in got) == collections.Counter((i, *brute_hits(t, items)) for i, t in given)
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
+def test_decontamination_clean_rows(awkward, bench, block_bytes):
+    items = [tuple(r) for r in bench.collect()]
+    got = decontaminate.clean(awkward, bench, block_bytes=block_bytes)
+    assert got.schema == awkward.schema and "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == collections.Counter(
+        (r[0], r[1]) for r in AWKWARD if not brute_hits(r[1], items)[1])
+
+
 def test_decontamination_stage_by_row(spark):
     item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
     rows = [(i, t, "en", "src0", len(t or "")) for i in (None, 1) for t in (BASE, item, BASE, None, "")] + [(2, item, None, None, 0)]
