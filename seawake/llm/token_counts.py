@@ -59,7 +59,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, part_chars
             for part in split_safely(text, part_chars) if len(text) > part_chars else (text,) if text else ():
                 parts.append(part)
                 owners.append(row)
-                size += len(part)
+                size += len(part) if part.isascii() else len(part.encode())
                 if size >= batch_bytes:
                     flush()
         flush()
