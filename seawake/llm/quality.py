@@ -34,18 +34,28 @@ def split_words(text: Column) -> Column:
     return F.array_remove(F.split(text, WHITE), "")
 
 
-def _hashes(words: Column, size: int) -> Column:
-    """Hashes of all runs of ``size`` words."""
-    n = F.size(words)
-    return F.when(n >= size, F.transform(
-        F.sequence(F.lit(0), n - size), lambda i: F.xxhash64(*[words[i + k] for k in range(size)])
-    )).otherwise(F.array().cast("array<bigint>"))
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _may_repeat(words: Column) -> Column:
-    """A window that occurs twice repeats all the shorter runs inside it, so their distinct number tells most texts
-    apart at a lower cost."""
-    return let(_hashes(words, SCREEN), lambda h: F.size(h) - F.size(F.array_distinct(h)) > REPEAT_WINDOW - SCREEN)
+def _joined(hashes: Column, step: int) -> Column:
+    """Hashes of neighbouring runs, of which the second begins ``step`` places after the first."""
+    n = F.greatest(F.size(hashes) - step, F.lit(0))
+    return F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(1 + step), n), lambda a, b: F.xxhash64(a, b))
+
+
+def _repeats(words: Column) -> Column:
+    """Words in repeated windows. Each word is hashed once; runs of two, four and eight follow by joining hashes.
+
+    A window that occurs twice repeats all the runs of four inside it, so their distinct number tells most texts apart
+    at a lower cost.
+    """
+    def screened(runs: Column) -> Column:
+        may = F.size(runs) - F.size(F.array_distinct(runs)) > REPEAT_WINDOW - SCREEN
+        return F.when(may, let(_joined(runs, SCREEN), _repeated_words)).otherwise(F.lit(0))
+
+    pairs = let(_hashes(words), lambda h: _joined(h, 1))
+    return let(let(pairs, lambda h: _joined(h, 2)), screened)
 
 
 def _repeated_words(hashes: Column) -> Column:
@@ -72,13 +82,12 @@ def _repeated_words(hashes: Column) -> Column:
 def base_counts(text: Column, words: Column) -> list[Column]:
     """The base counts of a text and its words."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    repeated = F.when(_may_repeat(words), let(_hashes(words, REPEAT_WINDOW), _repeated_words)).otherwise(F.lit(0))
     return [
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated.cast("long").alias("n_repeat_words")]
+        _repeats(words).cast("long").alias("n_repeat_words")]
 
 
 def split_units(text: Column) -> Column:
@@ -86,13 +95,9 @@ def split_units(text: Column) -> Column:
 
 
 def gram_buckets(units: Column, buckets: int) -> Column:
-    """Buckets of the whole units, and of the pairs of neighbouring ones."""
-    def hashed(u: Column) -> Column:
-        pairs = F.when(F.size(u) > 1, F.transform(F.sequence(F.lit(1), F.size(u) - 1),
-                                                  lambda i: F.pmod(F.xxhash64(u[i - 1], u[i]), F.lit(buckets)).cast("int")))
-        return F.concat(F.transform(u, lambda h: F.pmod(h, F.lit(buckets)).cast("int")),
-                        F.coalesce(pairs, F.array().cast("array<int>")))
-    return let(F.transform(units, lambda w: F.xxhash64(w)), hashed)
+    """Buckets of the whole units, and of the pairs of neighbouring ones. A pair's hash joins those of its units."""
+    return F.transform(let(_hashes(units), lambda h: F.concat(h, _joined(h, 1))),
+                       lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
 def _text() -> Column:
