@@ -24,22 +24,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group; its first row if it is repeated. Rows without a doc_id
-    belong to no group and stay."""
+    """The document with the smallest doc_id of each group; of its rows, if it is repeated, the one with
+    the smallest text that is not null. Rows without a doc_id belong to no group and stay."""
     prepare(spark)
     groups = jaccard_join.jaccard_groups(docs)
     first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    row = F.struct(F.col("text").isNull().alias("none"), "text", *rest)
+    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
+    return kept.select("doc_id", *[f"row.{c}" for c in COLUMNS[1:]]).unionByName(docs.select(*COLUMNS).filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window. Each row counts by its own text, also where a doc_id is null or repeated."""
     prepare(spark)
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    clean = found.filter("n_hit = 0").select("doc_id", "row").distinct()
-    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (decontaminate.row_digest(F.col("d.text")) == F.col("c.row"))
-    return docs.select(*COLUMNS).alias("d").join(clean.alias("c"), same, "left_semi")
+    return decontaminate.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
