@@ -91,7 +91,7 @@ def base_counts(text: Column, words: Column) -> list[Column]:
 
 
 def split_units(text: Column) -> Column:
-    """Runs of symbols are set apart by spaces first: a split costs a tenth of extracting every unit by expression."""
+    """Runs of symbols are set apart by spaces first: a split costs less than extracting every unit."""
     return split_words(F.regexp_replace(text, SYMBOL_RUN, " $0 "))
 
 
