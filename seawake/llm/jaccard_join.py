@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seawake.llm.common import map_batches, texts, written
@@ -25,6 +25,7 @@ SUBSET = 2
 LARGEST_SMALL = 64
 WORDS = 4  # of 64 bits, of the bitmap of a set's listed tokens
 SELDOM = 16  # sets of equal size that link share about a tenth of their shingles in their prefixes
+RECENT = 8  # lists before one that are searched for an earlier meeting of a pair
 CELLS, BLOCK = 1 << 20, 1 << 14  # of the count sketch, and of a row that carries a part of it
 BITS = 1 << 24  # of the bitmap of candidates
 ENTRY = np.dtype([("token", "<u8"), ("id", "<i8"), ("n", "<i4"), ("place", "<i4")])
@@ -342,44 +343,55 @@ def cross_pairs(entries: DataFrame, groups: DataFrame, small: int, bitmaps: Data
     """All pairs that share tokens, may link by their number and places and by their parity bitmaps, and are not yet in
     one group.
 
-    Tokens with equal lists are taken together: their common list is joined once, with the number of the tokens as a
-    weight. In each list the largest group is set aside: its sets meet those of other groups, never one another.
+    Tokens with equal lists are taken together: their common list is joined once. In each list the largest group is set
+    aside: its sets meet those of other groups, never one another. Lists have one order, and a pair is not made again
+    in a list if one of the RECENT lists before it has already brought the two together; so near copies, which share
+    hundreds of lists, are made a few times only. The first list that two sets share always makes the pair, and the
+    other conditions are the same in each of their lists.
     """
     entries = entries.join(groups.withColumnRenamed("component", "own"), "id", "left")
-    entries = written(entries.withColumn("own", F.coalesce("own", "id")), "entries")
-    lists = entries.groupBy("token", "kind").agg(
+    entries = written(entries.withColumn("own", F.coalesce("own", "id")).withColumn("subset", F.col("kind") == PAIR), "entries")
+    lists = entries.groupBy("token", "subset").agg(
         F.min("own").alias("lo"), F.max("own").alias("hi"), F.expr("bit_xor(xxhash64(id))").alias("list1"),
         F.expr("bit_xor(xxhash64(id, 1))").alias("list2")).filter("lo < hi").drop("lo", "hi")
-    entries = entries.join(lists, ["token", "kind"])
+    entries = entries.join(lists, ["token", "subset"])
     spot = f"pmod(xxhash64(token, 1), {64 * WORDS})"
     marks = [F.expr(f"bit_or(if({spot} div 64 = {k}, shiftleft(1L, cast({spot} % 64 as int)), 0L))").alias(f"w{k}")
              for k in range(WORDS)]
-    singles = entries.filter(F.col("kind") != PAIR).groupBy("id").agg(F.count("*").alias("live"), *marks)
+    singles = entries.filter("not subset").groupBy("id").agg(
+        F.count("*").alias("live"), *marks, F.array_sort(F.collect_list(F.struct("place", "token"))).alias("listed"))
     singles = singles.withColumn("twice", F.col("live") - sum(F.bit_count(f"w{k}") for k in range(WORDS)))
-    alike = ["list1", "list2", "kind"]
-    entries = entries.groupBy(*alike, "id").agg(
-        F.count("*").alias("weight"), F.max("place").alias("place"), F.max("n").alias("n"), F.max("own").alias("own"))
-    entries = written(entries.join(singles, "id", "left").join(bitmaps, "id", "left"), "lists")
+    singles = written(singles, "singles")
+    alike = ["list1", "list2", "subset"]
+    entries = entries.groupBy("id", *alike).agg(F.max("n").alias("n"), F.max("own").alias("own"))
+    before = Window.partitionBy("id").orderBy(F.desc("subset"), "list1", "list2").rowsBetween(-RECENT, -1)
+    entries = entries.withColumn("recent", F.collect_list("list1").over(before))
+    entries = written(entries.join(singles.drop("listed"), "id", "left").join(bitmaps, "id", "left"), "lists")
     largest = entries.groupBy(*alike, "own").agg(F.count("*").alias("sets")).groupBy(*alike).agg(
         F.max_by("own", "sets").alias("main"))
     entries = entries.join(largest, alike)
     a, b = entries.filter("own <> main").alias("a"), entries.alias("b")
     once = (F.col("b.own") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))
-    subset = F.col("a.kind") == PAIR
+    subset = F.col("a.subset")
     needed = subset | (F.col("a.n") > small) | (F.col("b.n") > small)
     sized = (F.col("a.n") * 100 >= F.col("b.n") * SHARE) & (F.col("b.n") * 100 >= F.col("a.n") * SHARE)
     met = a.join(b, (F.col("a.list1") == F.col("b.list1")) & (F.col("a.list2") == F.col("b.list2"))
-                 & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.own") != F.col("b.own")) & once & needed & sized
-                 & _near_enough() & (subset | _enough(_most_shared(), F.col("a.n"), F.col("b.n"))))
-    place = [F.when(~subset, F.col(f"{x}.place")) for x in "ab"]
-    first = F.col("a.id") < F.col("b.id")
-    met = met.select(*[F.when(first, x).otherwise(y).alias(name) for name, x, y in (
-        ("a", F.col("a.id"), F.col("b.id")), ("b", F.col("b.id"), F.col("a.id")), ("n", F.col("a.n"), F.col("b.n")),
-        ("m", F.col("b.n"), F.col("a.n")), ("place_a", *place), ("place_b", *reversed(place)))],
-        F.when(subset, 0).otherwise(F.col("a.weight")).alias("shared"), F.when(subset, 1).otherwise(0).alias("subset"))
-    pairs = met.groupBy("a", "b").agg(
-        F.max("n").alias("n"), F.max("m").alias("m"), F.max("place_a").alias("place_a"), F.max("place_b").alias("place_b"),
-        F.sum("shared").alias("c"), F.sum("subset").alias("subsets"))
+                 & (F.col("a.subset") == F.col("b.subset")) & (F.col("a.own") != F.col("b.own")) & once & needed & sized
+                 & _near_enough() & (subset | _enough(_most_shared(), F.col("a.n"), F.col("b.n")))
+                 & ~F.arrays_overlap("a.recent", "b.recent"))
+    pairs = met.groupBy(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).agg(
+        F.max(F.when(F.col("a.id") < F.col("b.id"), F.col("a.n")).otherwise(F.col("b.n"))).alias("n"),
+        F.max(F.when(F.col("a.id") < F.col("b.id"), F.col("b.n")).otherwise(F.col("a.n"))).alias("m"),
+        F.max(subset.cast("int")).alias("subsets"))
+    held = singles.select("id", F.col("listed.token").alias("tokens"), F.col("listed.place").alias("places"))
+    for x in "ab":
+        pairs = pairs.join(held.select(F.col("id").alias(x), F.col("tokens").alias(f"tokens_{x}"),
+                                       F.col("places").alias(f"places_{x}")), x, "left")
+    shared = F.array_intersect("tokens_a", "tokens_b")
+    pairs = pairs.withColumn("c", F.coalesce(F.size(shared), F.lit(0))).withColumn("last", F.try_element_at(shared, F.lit(-1)))
+    for x in "ab":
+        place = F.try_element_at(f"places_{x}", F.array_position(f"tokens_{x}", F.col("last")).cast("int"))
+        pairs = pairs.withColumn(f"place_{x}", F.when(F.col("last").isNotNull(), place))
     return pairs.filter(_may_link()).select("a", "b")
 
 
