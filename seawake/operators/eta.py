@@ -10,6 +10,7 @@ from seawake.functions.rules import lookup
 from seawake.schemas import ETA, SHIP, TIE, TIME, EtaRules
 
 LATEST = 10**11  # seconds, some three thousand years
+OVERLAP = 6  # windows of half an hour, renewed every five minutes, that hold a row
 
 
 def eta_predictions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

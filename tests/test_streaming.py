@@ -159,3 +159,27 @@ def test_state_partitions(spark, tmp_path):
     assert query.recentProgress[0].stateOperators[0].numShufflePartitions == 2
     assert spark.conf.get(key) == before
     assert io.one_store_per_core(spark) == 4
+
+
+def test_stores_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    """A store's rows, and so a task's memory, stay the same when the input grows; a row counts once per window."""
+    from __spark_entry__ import queries as registered
+    from seawake.sources import events
+
+    rows = [(i, T0 + dt.timedelta(minutes=7 * i), i % 3, "click", 1.0, f'{{"k": {i}}}') for i in range(40)]
+    folder = str(tmp_path / "sf")
+    spark.createDataFrame(rows, events.EVENTS).write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(io, "ROWS_PER_STORE", 24, raising=False)
+    monkeypatch.setattr(session, "shared_dir", lambda *_: str(tmp_path / "run"))
+    found = registered()["stream_eta_adjusted"](spark, folder)
+
+    stores = os.listdir(tmp_path / "run" / "checkpoints" / "out" / "state" / "0")
+    assert len([s for s in stores if s.isdigit()]) == 40 * 6 // 24
+    newest = T0 + dt.timedelta(minutes=7 * 39 - 10)
+    expected = eta.eta_adjusted(events.read_telemetry(spark, folder)).filter(F.col("mise_a_jour") <= F.lit(newest))
+    assert found.count() > 0 and same(found, expected)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4" and spark.conf.get(io.BOUNDED_STORES, None) is None
+
+
+def test_overlap_is_the_number_of_windows_of_a_row(spark):
+    assert eta.eta_adjusted(rows_of(spark, {})).count() == eta.OVERLAP
